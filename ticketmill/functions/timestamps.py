@@ -17,7 +17,8 @@ from ticketmill.fixed_values import EXECUTION_ID_FORMAT, TIMESTAMP_FORMATS
 from ticketmill.functions.numeric import round_half_up
 
 NTZ = "timestamp_ntz"
-ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}"
+ISO_DATE = r"^\d{4}(?:-\d{1,2}(?:-\d{1,2}.*)?)?$"
+HAS_DIGIT = r"\d"
 
 
 def ntz(value: datetime | str | Column) -> Column:
@@ -46,10 +47,14 @@ def _parse_layout(text: Column, layout: str) -> Column:
 def parse_timestamp(text: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """Lenient parse of stripped text: ISO first, then the given layouts; null when none fits.
 
-    A zone suffix is dropped. The ISO guard keeps the cast from reading '12345' as a year.
+    A zone suffix is dropped. The ISO guard (a year, a month or more) keeps the cast from reading
+    '12345' as a year. Few
+    patterns with alternatives beat many simple ones: each adds code to the generated method, which
+    the JVM leaves uncompiled beyond 8000 bytes.
     """
-    others = [_parse_layout(text, layout) for layout in formats] or [F.lit(None).cast(NTZ)]
-    return F.when(text.rlike(ISO_DATE), text.try_cast(NTZ)).otherwise(F.coalesce(*others))
+    iso = F.when(text.rlike(ISO_DATE), text.try_cast(NTZ))
+    others = F.coalesce(*[_parse_layout(text, layout) for layout in formats], F.lit(None).cast(NTZ))
+    return iso.when(text.rlike(HAS_DIGIT), others)
 
 
 def to_event_time(value: Column) -> Column:

@@ -18,13 +18,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ticketmill.fixed_values import DUPLICATE_KEY, NA_TOKENS
 from ticketmill.functions.text import null_missing, strip
 from ticketmill.functions.timestamps import from_event_time, hour_label, parse_timestamp, to_event_time
-from ticketmill.operators import validation
 from ticketmill.operators.dedup import keep_latest
+from ticketmill.plans.batch import judge, land
 from ticketmill.schemas import BRONZE, EXECUTION_ID, ROW_ID
 from ticketmill.sources import layers
 
 EVENT_TIME = "_event_time"
-OUTCOME, VALID, QUARANTINED = "outcome", "valid", "quarantined"
 
 
 def read_stream(
@@ -48,46 +47,14 @@ def run_of_batch(batch: int) -> str:
     return f"batch_{batch:010d}"
 
 
-def store_run(bronze: DataFrame, regions: DataFrame, as_of: datetime | str | Column, root: str, run: str) -> None:
-    """Land raw rows, judge the landed rows, store the verdicts; all below `root`, all repeatable.
-
-    Landing first gives every row an id that no later reading can change. Valid and quarantined
-    rows are the two partitions of one table, written by one job.
-    """
-    spark = bronze.sparkSession
-    landed = bronze if ROW_ID in bronze.columns else layers.with_row_ids(bronze)
-    layers.write_run(landed, f"{root}/bronze", run)
-    stored = layers.read_layer(spark, f"{root}/bronze", run, _with_run(landed.schema))
-    judged = validation.judge_tickets(validation.check_tickets(stored, regions, as_of))
-    outcome = F.when(validation.passed(), VALID).otherwise(QUARANTINED)
-    layers.write_run(judged.withColumn(OUTCOME, outcome), f"{root}/judged", run, partition_by=[OUTCOME])
-
-
-def _with_run(schema: T.StructType) -> T.StructType:
-    kept = [f for f in schema.fields if f.name != EXECUTION_ID]
-    return T.StructType([*kept, T.StructField(EXECUTION_ID, T.StringType(), True)])
-
-
-def _read_outcome(spark: SparkSession, root: str, outcome: str, run: str | None) -> DataFrame:
-    judged = layers.read_layer(spark, f"{root}/judged", run)
-    return judged.where(F.col(OUTCOME) == outcome).drop(OUTCOME)
-
-
-def read_validated(spark: SparkSession, root: str, run: str | None = None) -> DataFrame:
-    return validation.typed_layout(_read_outcome(spark, root, VALID, run))
-
-
-def read_quarantine(spark: SparkSession, root: str, run: str | None = None) -> DataFrame:
-    return validation.raw_layout(_read_outcome(spark, root, QUARANTINED, run))
-
-
 def ingest(
     stream: DataFrame, regions: DataFrame, as_of: datetime | str | Column, root: str, checkpoint: str | None = None
 ) -> StreamingQuery:
     """Check every new batch and store it below `root`. `as_of` may be F.localtimestamp()."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        store_run(batch, regions, as_of, root, run_of_batch(number))
+        run = run_of_batch(number)
+        judge(land(batch, root, run), regions, as_of, root, run)
 
     return (
         stream.writeStream.foreachBatch(handle)

@@ -153,9 +153,7 @@ def silver(source: str, reply: str) -> str:
 
 SILVER = REPLIED + f",\nsilver AS ({silver('replied', 'model_reply')})"
 
-GOLD = (
-    SILVER
-    + """,
+TO_GOLD = """,
 dim_regions(region_id, region_name) AS (
   VALUES (1, 'CA-TORONTO'), (2, 'AU-SYDNEY'), (3, 'UK-LONDON'), (4, 'SG-CENTRAL'), (5, 'JP-TOKYO')),
 dim_categories(category_id, category_name) AS (
@@ -174,7 +172,8 @@ gold AS (
     region_name AS region, category_name AS category
   FROM fact LEFT JOIN dim_regions USING (region_id) LEFT JOIN dim_categories USING (category_id)
 )"""
-)
+
+GOLD = SILVER + TO_GOLD
 
 RUNS = """
 log AS (
@@ -238,6 +237,18 @@ def with_ctes(ctes: str, select: str) -> str:
 VALID_COLUMNS = "_row_id, email_address, created_at, customer_text, region, first_response_at"
 RUN_OF_FACT = "'2024' || strftime(created_at, '%m') || '_' || region_id"
 
+SCORED = (
+    CHECKED
+    + """,
+measured AS (SELECT *, length(customer_text) + 309 AS n FROM valid),
+scored AS (
+  SELECT * EXCLUDE (n), CASE WHEN n % 4 = 0 THEN NULL ELSE CAST(CAST((n % 21 - 10) / 10.0 AS DECIMAL(3,1)) AS VARCHAR) || '|' ||
+    (['Technical', 'Billing', 'Account', 'Feedback', 'How-To Question'])[n % 5 + 1] END AS model_reply FROM measured)"""
+)
+SEVERITY_REPORT = f"""SELECT severity, count(*) AS ticket_count, count(first_response_at) AS responded_tickets,
+  count(*) - count(first_response_at) AS unanswered_tickets,
+  {rounded("avg(CAST(response_latency_hrs AS DECIMAL(18,2)))", 2)} AS avg_latency_hrs FROM gold GROUP BY 1"""
+
 ORACLES: dict[str, str] = {
     "tickets_raw": with_ctes(TICKETS, "SELECT * FROM tickets"),
     "validate_reasons": with_ctes(CHECKED, "SELECT _row_id, failure_reason FROM checked"),
@@ -319,12 +330,7 @@ SELECT doc_id, coalesce(score, 0) AS sentiment_score FROM documents LEFT JOIN sc
   {percent("count(*) FILTER (WHERE analysis_source = 'gemini')", "count(*)")} AS gemini_percentage FROM silver""",
     ),
     "model_scoring_batch": with_ctes(
-        CHECKED
-        + """,
-measured AS (SELECT *, length(customer_text) + 309 AS n FROM valid),
-scored AS (
-  SELECT * EXCLUDE (n), CASE WHEN n % 4 = 0 THEN NULL ELSE CAST(CAST((n % 21 - 10) / 10.0 AS DECIMAL(3,1)) AS VARCHAR) || '|' ||
-    (['Technical', 'Billing', 'Account', 'Feedback', 'How-To Question'])[n % 5 + 1] END AS model_reply FROM measured)""",
+        SCORED,
         f"SELECT _row_id, sentiment_score, category, analysis_source FROM ({silver('scored', 'model_reply')})",
     ),
     "prompt_text": with_ctes(
@@ -347,12 +353,7 @@ scored AS (
         """SELECT count(*) AS row_count, count(DISTINCT (email_address, customer_text)) AS content_keys,
   0::BIGINT AS too_small FROM valid""",
     ),
-    "severity_report": with_ctes(
-        GOLD,
-        f"""SELECT severity, count(*) AS ticket_count, count(first_response_at) AS responded_tickets,
-  count(*) - count(first_response_at) AS unanswered_tickets,
-  {rounded("avg(CAST(response_latency_hrs AS DECIMAL(18,2)))", 2)} AS avg_latency_hrs FROM gold GROUP BY 1""",
-    ),
+    "severity_report": with_ctes(GOLD, SEVERITY_REPORT),
     "category_sentiment": with_ctes(
         GOLD,
         f"""SELECT category, {rounded("avg(CAST(sentiment_score AS DECIMAL(18,6)))", 2)} AS avg_sentiment_score,
@@ -458,6 +459,9 @@ FROM (SELECT *, {RUN_OF_FACT} AS execution_id FROM fact) WHERE execution_id <> '
     ),
     "append_known_keys": """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (
   SELECT c_custkey FROM customer WHERE contains(c_mktsegment, 'BUILD') OR contains(c_mktsegment, 'AUTO'))""",
+    "run_from_raw_to_gold": with_ctes(
+        SCORED + f",\nsilver AS ({silver('scored', 'model_reply')})" + TO_GOLD, SEVERITY_REPORT
+    ),
     "stream_hourly_trend": with_ctes(
         CHECKED,
         "SELECT strftime(date_trunc('hour', created), '%Y-%m-%d %H:%M') AS created_date, count(*) AS ticket_count "

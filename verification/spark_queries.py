@@ -24,6 +24,7 @@ from ticketmill.operators.dedup import drop_known
 from ticketmill.operators.lookup import reference_mapping, reference_values
 from ticketmill.operators.rules import apply_rules
 from ticketmill.operators.scoring import score_tickets
+from ticketmill.plans import batch
 from ticketmill.plans.shared import new_folder
 from ticketmill.schemas import EXECUTION_ID, ROW_ID
 from ticketmill.sources import layers, reference_data
@@ -380,18 +381,18 @@ def stream_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_ingest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _ingested(spark, sf_dir)
-    return streams.read_validated(spark, root).drop(EXECUTION_ID)
+    return batch.read_validated(spark, root).drop(EXECUTION_ID)
 
 
 def stream_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _ingested(spark, sf_dir)
-    return streams.read_quarantine(spark, root).drop(EXECUTION_ID, "failed_rules")
+    return batch.read_quarantine(spark, root).drop(EXECUTION_ID, "failed_rules")
 
 
 def stream_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tickets arriving in several micro-batches; the newest copy over all of them stays."""
     root = _ingested(spark, sf_dir, files=4)
-    return streams.current_tickets(streams.read_validated(spark, root)).drop(EXECUTION_ID)
+    return streams.current_tickets(batch.read_validated(spark, root)).drop(EXECUTION_ID)
 
 
 def _event_stream(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
@@ -410,6 +411,17 @@ def _ingested(spark: SparkSession, sf_dir: str, files: int = 1) -> str:
     return root
 
 
+def run_from_raw_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored run: raw rows land, are judged, enriched by the stand-in model and loaded; then a report."""
+    root, run = new_folder(spark, "lake"), "20240201_000000"
+    batch.validate_run(spark, tickets_raw(spark, sf_dir), root, run, AS_OF)
+    batch.enrich_run(
+        spark, root, run, LEXICON, length_scorer(), max_retries=1, delay_seconds=0, sleep=lambda seconds: None
+    )
+    batch.load_run(spark, root, run, AS_OF)
+    return reports.severity_report(batch.read_gold(spark, root))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tickets_raw": tickets_raw,
     "validate_reasons": validate_reasons,
@@ -463,6 +475,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_overwrite_rerun": partition_overwrite_rerun,
     "insert_only_merge": insert_only_merge,
     "append_known_keys": append_known_keys,
+    "run_from_raw_to_gold": run_from_raw_to_gold,
     "stream_hourly_trend": stream_hourly_trend,
     "stream_ingest_valid": stream_ingest_valid,
     "stream_ingest_quarantine": stream_ingest_quarantine,
