@@ -12,15 +12,14 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder. A local session without one gets a temporary folder."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="ticketmill-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ticketmill-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
