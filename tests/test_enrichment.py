@@ -10,10 +10,10 @@ from ticketmill.operators.enrichment import (
     build_prompt,
     enrich_tickets,
     enrichment_summary,
-    keyword_category,
     lexicon_polarity,
     parse_replies,
     score_by_lexicon,
+    with_keyword_category,
 )
 
 REPLIES = [
@@ -62,7 +62,8 @@ def test_replies(spark, categories):
     ],
 )
 def test_keyword_category(spark, text, expected):
-    assert spark.createDataFrame([(text,)], "t string").select(keyword_category(F.col("t"))).first()[0] == expected
+    df = spark.createDataFrame([(text,)], "customer_text string")
+    assert with_keyword_category(df).first().category == expected
 
 
 def brute_force(text, lexicon):

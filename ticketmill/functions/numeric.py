@@ -29,10 +29,9 @@ def percentage(part: Column, total: Column) -> Column:
     return round_half_up(F.try_divide(part * F.lit(100.0), total), 1)
 
 
-def is_number(text: Column) -> Column:
-    """True for every text that reads as a float, the non-finite names included."""
-    value = strip(text)
-    return value.rlike(NUMBER) | value.rlike(NOT_FINITE)
+def names_not_finite(text: Column) -> Column:
+    """True for the names of NaN and the infinities, which read as floats too."""
+    return strip(text).rlike(NOT_FINITE)
 
 
 def to_double(text: Column) -> Column:
@@ -43,8 +42,7 @@ def to_double(text: Column) -> Column:
 
 def number_or_zero(value: Column) -> Column:
     """Any column as a double; what is not a number becomes 0.0."""
-    number = value.try_cast("double")
-    return F.when(F.isnan(number), F.lit(0.0)).otherwise(F.coalesce(number, F.lit(0.0)))
+    return F.nanvl(F.coalesce(value.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def within_unit(score: Column) -> Column:

@@ -24,7 +24,8 @@ def is_blank(text: Column) -> Column:
 
 
 def is_email(text: Column) -> Column:
-    return strip(text).rlike(EMAIL_PATTERN)
+    """Does the stripped text match? Text that matches as it is, the normal case, is not stripped."""
+    return text.rlike(EMAIL_PATTERN) | strip(text).rlike(EMAIL_PATTERN)
 
 
 def contains_any(text: Column, words: Iterable[str]) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ticketmill.fixed_values import EXECUTION_ID_FORMAT, TIMESTAMP_FORMATS
 from ticketmill.functions.numeric import round_half_up
+from ticketmill.functions.text import strip
 
 NTZ = "timestamp_ntz"
 ISO_DATE = r"^\d{4}(?:-\d{1,2}(?:-\d{1,2}.*)?)?$"
@@ -45,16 +46,16 @@ def _parse_layout(text: Column, layout: str) -> Column:
 
 
 def parse_timestamp(text: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Lenient parse of stripped text: ISO first, then the given layouts; null when none fits.
+    """Lenient parse: ISO first, then the given layouts; null when none fits.
 
     A zone suffix is dropped. The ISO guard (a year, a month or more) keeps the cast from reading
-    '12345' as a year. Few
-    patterns with alternatives beat many simple ones: each adds code to the generated method, which
-    the JVM leaves uncompiled beyond 8000 bytes.
+    '12345' as a year. ISO text, the normal case, costs a match and a cast; only the rest is stripped
+    of Unicode whitespace and tried again. Few patterns with alternatives beat many simple ones: each
+    adds code to the generated method, which the JVM leaves uncompiled beyond 8000 bytes.
     """
-    iso = F.when(text.rlike(ISO_DATE), text.try_cast(NTZ))
-    others = F.coalesce(*[_parse_layout(text, layout) for layout in formats], F.lit(None).cast(NTZ))
-    return iso.when(text.rlike(HAS_DIGIT), others)
+    value = strip(text)
+    again = [F.when(value.rlike(ISO_DATE), value.try_cast(NTZ)), *[_parse_layout(value, f) for f in formats]]
+    return F.when(text.rlike(ISO_DATE), text.try_cast(NTZ)).when(text.rlike(HAS_DIGIT), F.coalesce(*again))
 
 
 def to_event_time(value: Column) -> Column:

@@ -20,7 +20,7 @@ from ticketmill.fixed_values import (
     UNKNOWN_CATEGORY,
 )
 from ticketmill.functions.numeric import (
-    is_number,
+    names_not_finite,
     number_or_zero,
     percentage,
     round_half_up,
@@ -30,7 +30,7 @@ from ticketmill.functions.numeric import (
 from ticketmill.functions.text import contains_any, strip
 from ticketmill.operators.lookup import flag_members
 
-NOT_A_WORD = r"[^a-z0-9']+"
+WORD = r"[a-z0-9']+"
 LARGEST_INLINE_LEXICON = 20_000
 POLARITY = "decimal(9,6)"
 POLARITY_SUM = "decimal(28,6)"
@@ -41,17 +41,32 @@ def build_prompt(text: Column, before: str = PROMPT_BEFORE_TEXT, after: str = PR
 
 
 def keyword_category(
-    text: Column,
+    lowered: Column,
     rules: Sequence[tuple[str, Sequence[str]]] = KEYWORD_RULES,
     default: str = KEYWORD_DEFAULT,
 ) -> Column:
-    """The first category one of whose keywords occurs in the lower-cased text."""
-    lowered = F.lower(text)
+    """The first category one of whose keywords occurs in the text, which must be lower-cased.
+
+    The text is read once per keyword, so lower it in a step of its own, as `with_keyword_category` does.
+    """
     return F.coalesce(*[F.when(contains_any(lowered, words), name) for name, words in rules], F.lit(default))
 
 
+def with_keyword_category(
+    df: DataFrame,
+    text: str = "customer_text",
+    rules: Sequence[tuple[str, Sequence[str]]] = KEYWORD_RULES,
+    default: str = KEYWORD_DEFAULT,
+    output: str = "category",
+) -> DataFrame:
+    lowered = df.withColumn("_lowered", F.lower(text))
+    return lowered.withColumn(output, keyword_category(F.col("_lowered"), rules, default)).drop("_lowered")
+
+
 def words(text: Column) -> Column:
-    return F.split(F.lower(text), NOT_A_WORD)
+    """Lower-cased words. Extracting them is several times faster than splitting between them: split
+    compiles its pattern per row, and Java matches the negated class slowly."""
+    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
 def lexicon_polarity(text: Column, lexicon: Mapping[str, float]) -> Column:
@@ -74,14 +89,12 @@ def lexicon_polarity(text: Column, lexicon: Mapping[str, float]) -> Column:
 
     start = F.struct(F.lit(0).cast(POLARITY_SUM).alias("total"), F.lit(0).alias("hits"))
 
-    def add(state: Column, word: Column) -> Column:
-        polarity = found(word)
-        return F.struct(
-            (state["total"] + F.coalesce(polarity, F.lit(0).cast(POLARITY))).cast(POLARITY_SUM).alias("total"),
-            (state["hits"] + polarity.isNotNull().cast("int")).alias("hits"),
-        )
+    def add(state: Column, polarity: Column) -> Column:
+        total = (state["total"] + polarity).cast(POLARITY_SUM)
+        return F.struct(total.alias("total"), (state["hits"] + 1).alias("hits"))
 
-    return F.coalesce(F.aggregate(words(text), start, add, _mean), F.lit(0.0))
+    hits = F.filter(F.transform(words(text), found), lambda polarity: polarity.isNotNull())
+    return F.coalesce(F.aggregate(hits, start, add, _mean), F.lit(0.0))
 
 
 def _mean(state: Column) -> Column:
@@ -118,22 +131,22 @@ def parse_replies(
     own: a score outside [-1, 1] becomes 0.0, a category not in the table the unknown one. The
     category is compared as written, so a blank after the delimiter makes it unknown.
     """
-    halves = F.split(strip(F.col(reply)), f"[{REPLY_DELIMITER}]", 2)
-    split = df.withColumns({"_score_text": F.get(halves, 0), "_category_text": F.get(halves, 1)})
-    known = flag_members(split, "_category_text", categories, category_column, "_known_category")
-    readable = F.col("_category_text").isNotNull() & is_number(F.col("_score_text"))
+    halves = F.split(strip(F.col(reply)), rf"\{REPLY_DELIMITER}", 2)
+    split = df.withColumns({"_score_text": F.get(halves, 0), "_category": F.get(halves, 1)})
+    # The score stands in a step of its own, as the lines below it read it several times.
+    scored = split.withColumn("_score", to_double(F.col("_score_text")))
+    known = flag_members(scored, "_category", categories, category_column, "_known_category")
+    score, category = F.col("_score"), F.col("_category")
+    readable = category.isNotNull() & (score.isNotNull() | names_not_finite(F.col("_score_text")))
     answered = F.col(reply).isNotNull()
     return known.withColumns(
         {
-            "model_score": F.when(
-                answered, F.when(readable, within_unit(to_double(F.col("_score_text")))).otherwise(F.lit(0.0))
-            ),
+            "model_score": F.when(answered, F.when(category.isNotNull(), within_unit(score)).otherwise(F.lit(0.0))),
             "model_category": F.when(
-                answered,
-                F.when(readable & F.col("_known_category"), F.col("_category_text")).otherwise(UNKNOWN_CATEGORY),
+                answered, F.when(F.col("_known_category") & readable, category).otherwise(UNKNOWN_CATEGORY)
             ),
         }
-    ).drop("_score_text", "_category_text", "_known_category")
+    ).drop("_score_text", "_category", "_score", "_known_category")
 
 
 def enrich_tickets(
@@ -152,14 +165,14 @@ def enrich_tickets(
     `score_by_lexicon` added. One projection per row; nothing is shuffled.
     """
     answered = F.col(reply).isNotNull()
-    replied = parse_replies(valid, reply, categories)
+    replied = parse_replies(valid, reply, categories).withColumn("_lowered", F.lower(text))
     return replied.withColumns(
         {
             "sentiment_score": number_or_zero(F.when(answered, F.col("model_score")).otherwise(local_score)),
-            "category": F.when(answered, F.col("model_category")).otherwise(keyword_category(F.col(text), rules)),
+            "category": F.when(answered, F.col("model_category")).otherwise(keyword_category(F.col("_lowered"), rules)),
             "analysis_source": F.when(answered, model_source).otherwise(local_source),
         }
-    ).drop("model_score", "model_category", reply)
+    ).drop("model_score", "model_category", "_lowered", reply)
 
 
 def enrichment_summary(

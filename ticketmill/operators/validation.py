@@ -25,7 +25,7 @@ from ticketmill.fixed_values import (
     TIMESTAMP_FORMATS,
 )
 from ticketmill.functions.numeric import percentage
-from ticketmill.functions.text import digest, is_blank, is_email, strip
+from ticketmill.functions.text import digest, is_blank, is_email
 from ticketmill.functions.timestamps import ntz, parse_timestamp
 from ticketmill.operators.dedup import keep_latest, mark_superseded
 from ticketmill.operators.lookup import flag_members
@@ -52,7 +52,10 @@ def require_rows(df: DataFrame) -> DataFrame:
 
 
 def ticket_rules(as_of: datetime | str | Column, known_region: Column) -> list[Rule]:
-    """The rules of a raw ticket, in the order their messages are listed."""
+    """The rules of a raw ticket, in the order their messages are listed.
+
+    Blank tests come behind what is known already: a parsed time or a known region is not blank.
+    """
     email, created, text, region, responded = (F.col(name) for name in REQUIRED_COLUMNS)
 
     def rule(name: str, subject: str, failed: Column, message: str, value: Column | None = None) -> Rule:
@@ -61,11 +64,11 @@ def ticket_rules(as_of: datetime | str | Column, known_region: Column) -> list[R
     return [
         rule("email_blank", "email", is_blank(email), EMAIL_BLANK),
         rule("email_format", "email", ~is_email(email), EMAIL_INVALID, email),
-        rule("created_blank", "created", is_blank(created), CREATED_BLANK),
+        rule("created_blank", "created", F.col(CREATED).isNull() & is_blank(created), CREATED_BLANK),
         rule("created_format", "created", F.col(CREATED).isNull(), CREATED_INVALID, created),
         rule("created_future", "created", F.col(CREATED) > ntz(as_of), CREATED_FUTURE),
         rule("text_blank", "text", is_blank(text), TEXT_BLANK),
-        rule("region_blank", "region", is_blank(region), REGION_BLANK),
+        rule("region_blank", "region", ~known_region & is_blank(region), REGION_BLANK),
         rule("region_unknown", "region", ~known_region, REGION_UNKNOWN, region),
         rule(
             "response_format",
@@ -89,11 +92,10 @@ def check_tickets(
 
     A projection over one lookup of the region; no shuffle while the region table is small.
     """
-    # Stripped in a step of its own: the parse reads its text once per layout.
     times = {CREATED: "created_at", RESPONDED: "first_response_at"}
-    stripped = require_columns(bronze).withColumns({new: strip(F.col(raw)) for new, raw in times.items()})
-    parsed = stripped.withColumns({new: parse_timestamp(F.col(new), formats) for new in times})
-    flagged = flag_members(parsed, "region", regions, region_column, "_known_region")
+    parsed = require_columns(bronze).withColumns({new: parse_timestamp(F.col(raw), formats) for new, raw in times.items()})
+    named = regions.where(~is_blank(F.col(region_column)))
+    flagged = flag_members(parsed, "region", named, region_column, "_known_region")
     return apply_rules(flagged, ticket_rules(as_of, F.col("_known_region"))).drop("_known_region")
 
 

@@ -56,6 +56,11 @@ def with_row_ids(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
+def in_source_order(df: DataFrame) -> DataFrame:
+    """Sorted as the source was, for a sink that asks for it; no operator depends on the order."""
+    return df.orderBy(ROW_ID)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).options(
         header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False,

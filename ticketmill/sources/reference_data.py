@@ -13,14 +13,17 @@ from ticketmill import fixed_values, schemas
 
 
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
-    """A small table held in the plan, whose exact size lets Spark decide on a broadcast join."""
+    """A small table held in the plan, whose exact size lets Spark decide on a broadcast join.
+
+    One partition, so bringing it to one row per key needs no exchange.
+    """
     columns = list(zip(*rows)) if rows else [()] * len(schema.fields)
     arrow = {
         T.IntegerType(): pa.int32(), T.LongType(): pa.int64(), T.StringType(): pa.string(),
         T.DoubleType(): pa.float64(),
     }
     fields = [pa.array(list(c), type=arrow[f.dataType]) for c, f in zip(columns, schema.fields)]
-    return spark.createDataFrame(pa.table(fields, names=schema.names), schema=schema)
+    return spark.createDataFrame(pa.table(fields, names=schema.names), schema=schema).coalesce(1)
 
 
 def dim_regions(spark: SparkSession) -> DataFrame:

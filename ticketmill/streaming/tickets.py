@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ticketmill.fixed_values import DUPLICATE_KEY, NA_TOKENS
-from ticketmill.functions.text import null_missing, strip
+from ticketmill.functions.text import null_missing
 from ticketmill.functions.timestamps import from_event_time, hour_label, parse_timestamp, to_event_time
 from ticketmill.operators.dedup import keep_latest
 from ticketmill.plans.batch import judge, land
@@ -80,7 +80,7 @@ def first_copies(stream: DataFrame, delay: str = "1 day", key: Sequence[str] = t
 
 def typed_stream(stream: DataFrame) -> DataFrame:
     """Rows with a readable creation time, typed, and its event time for the operators below."""
-    typed = stream.withColumn("created_at", parse_timestamp(strip(F.col("created_at"))))
+    typed = stream.withColumn("created_at", parse_timestamp(F.col("created_at")))
     return typed.where(F.col("created_at").isNotNull()).withColumn(EVENT_TIME, to_event_time(F.col("created_at")))
 
 

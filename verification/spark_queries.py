@@ -15,10 +15,10 @@ from ticketmill.operators.enrichment import (
     build_prompt,
     enrich_tickets,
     enrichment_summary,
-    keyword_category,
     lexicon_polarity,
     parse_replies,
     score_by_lexicon,
+    with_keyword_category,
 )
 from ticketmill.operators.dedup import drop_known
 from ticketmill.operators.lookup import reference_mapping, reference_values
@@ -141,13 +141,13 @@ def parse_model_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.col("customer_text")
-    return tickets_raw(spark, sf_dir).where(text.isNotNull()).select(ROW_ID, keyword_category(text).alias("category"))
+    texts = tickets_raw(spark, sf_dir).where(F.col("customer_text").isNotNull())
+    return with_keyword_category(texts).select(ROW_ID, "category")
 
 
 def keyword_categories_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    category = keyword_category(F.col("text"), DOCUMENT_RULES, "Other")
-    return table(spark, sf_dir, "documents").select("doc_id", category.alias("category"))
+    documents = table(spark, sf_dir, "documents")
+    return with_keyword_category(documents, "text", DOCUMENT_RULES, "Other").select("doc_id", "category")
 
 
 def lexicon_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
