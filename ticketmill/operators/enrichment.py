@@ -28,7 +28,7 @@ from ticketmill.functions.numeric import (
     within_unit,
 )
 from ticketmill.functions.text import contains_any, strip
-from ticketmill.operators.lookup import flag_members
+from ticketmill.operators.lookup import flag_members, reference_mapping
 
 WORD = r"[a-z0-9']+"
 LARGEST_INLINE_LEXICON = 20_000
@@ -108,10 +108,13 @@ def score_by_lexicon(
 ) -> DataFrame:
     """The same score with the lexicon (`word`, `polarity`) as a table of any size.
 
-    Words of one row sit in one partition, so the partial aggregate leaves one small record per row
-    before the shuffle; the score returns to its row over the unique row id.
+    Words of one row sit in one partition, so with a lexicon that Spark broadcasts the partial
+    aggregate leaves one small record per row before the shuffle; a larger lexicon is joined by
+    shuffle, where adaptive execution splits a hot word. The score returns over the unique row id.
     """
-    entries = lexicon.select("word", F.col("polarity").cast(POLARITY).alias("_polarity"))
+    entries = reference_mapping(lexicon, "word", "polarity").select(
+        "word", F.col("polarity").cast(POLARITY).alias("_polarity")
+    )
     scores = (
         df.select(row_id, F.explode(words(F.col(text))).alias("word"))
         .join(entries, "word")

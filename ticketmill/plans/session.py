@@ -1,9 +1,32 @@
-"""A session for tests and benchmarks; on a cluster, the submitting side configures its own."""
+"""Sessions: options for a large cluster, and a local session for tests and benchmarks."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+MIB = 1024 * 1024
+
+
+def cluster_options(input_bytes: int, cores: int, partition_bytes: int = 256 * MIB) -> dict[str, str]:
+    """Options for a job over `input_bytes` on `cores` cores, to be set when the session is built.
+
+    The operators shuffle each row once at most in full width, so the input size stands for the
+    largest shuffle. Partitions start at a size that sorts in memory and are merged by adaptive
+    execution where a stage turns out smaller; a shuffle has at least two waves of tasks to even out.
+    """
+    partitions = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     spark = (

@@ -234,6 +234,10 @@ def with_ctes(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
+# Copies count within a run only: the run joins the key of the ranking.
+IN_RUNS = "run_of AS (SELECT event_id AS _row_id, CAST(event_id // 500 AS VARCHAR) AS execution_id FROM events),\n" + (
+    CHECKED.replace("PARTITION BY failure_reason = ''", "PARTITION BY _row_id // 500, failure_reason = ''")
+)
 VALID_COLUMNS = "_row_id, email_address, created_at, customer_text, region, first_response_at"
 RUN_OF_FACT = "'2024' || strftime(created_at, '%m') || '_' || region_id"
 
@@ -257,6 +261,25 @@ ORACLES: dict[str, str] = {
     "judged_by_outcome": with_ctes(
         CHECKED, "SELECT _row_id, reason = '' AS is_valid, reason AS failure_reason FROM judged"
     ),
+    "judged_with_hot_key": with_ctes(
+        CHECKED.replace(
+            "SELECT *, try_cast(created_at",
+            """SELECT * REPLACE (CASE WHEN _row_id % 3 = 0 THEN 'hot@example.org' ELSE email_address END AS email_address,
+    CASE WHEN _row_id % 3 = 0 THEN 'Everyone sends this' ELSE customer_text END AS customer_text), try_cast(created_at""",
+        ),
+        "SELECT _row_id, reason AS failure_reason FROM judged",
+    ),
+    "valid_tickets_in_runs": with_ctes(
+        IN_RUNS, f"SELECT {VALID_COLUMNS}, execution_id FROM valid JOIN run_of USING (_row_id)"
+    ),
+    "validation_summary_by_run": with_ctes(
+        IN_RUNS,
+        f"""SELECT execution_id, count(*) AS rows_read, count(*) FILTER (WHERE failure_reason <> '') AS rows_failed,
+  count(*) FILTER (WHERE failure_reason = '' AND reason <> '') AS rows_duplicate,
+  count(*) FILTER (WHERE reason = '') AS rows_valid, count(*) FILTER (WHERE reason <> '') AS rows_quarantined,
+  {percent("count(*) FILTER (WHERE reason = '')", "count(*)")} AS validation_pass_rate
+FROM judged JOIN run_of USING (_row_id) GROUP BY execution_id""",
+    ),
     "failure_reason_counts": with_ctes(
         CHECKED, "SELECT failure_reason, count(*) AS row_count FROM quarantine GROUP BY 1"
     ),

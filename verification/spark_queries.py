@@ -66,6 +66,33 @@ def judged_by_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(ROW_ID, validation.passed().alias("is_valid"), "failure_reason")
 
 
+def judged_with_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a third of all rows being copies of one ticket."""
+    hot = F.col(ROW_ID) % 3 == 0
+    raw = tickets_raw(spark, sf_dir).withColumns(
+        {
+            "email_address": F.when(hot, "hot@example.org").otherwise(F.col("email_address")),
+            "customer_text": F.when(hot, "Everyone sends this").otherwise(F.col("customer_text")),
+        }
+    )
+    judged = validation.judge_tickets(validation.check_tickets(raw, reference_data.dim_regions(spark), AS_OF))
+    return judged.select(ROW_ID, "failure_reason")
+
+
+def _checked_in_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checked tickets of many runs: a run takes in 500 events, as a file of one day would."""
+    raw = tickets_raw(spark, sf_dir).withColumn(EXECUTION_ID, F.floor(F.col(ROW_ID) / 500).cast("string"))
+    return validation.check_tickets(raw, reference_data.dim_regions(spark), AS_OF)
+
+
+def valid_tickets_in_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validation.valid_tickets(_checked_in_runs(spark, sf_dir))
+
+
+def validation_summary_by_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validation.validation_summary(_checked_in_runs(spark, sf_dir), [EXECUTION_ID])
+
+
 def failure_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validation.failure_reason_counts(checked(spark, sf_dir))
 
@@ -428,6 +455,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_tickets": valid_tickets,
     "quarantined_tickets": quarantined_tickets,
     "judged_by_outcome": judged_by_outcome,
+    "judged_with_hot_key": judged_with_hot_key,
+    "valid_tickets_in_runs": valid_tickets_in_runs,
+    "validation_summary_by_run": validation_summary_by_run,
     "failure_reason_counts": failure_reason_counts,
     "failure_rule_counts": failure_rule_counts,
     "validation_summary": validation_summary,
