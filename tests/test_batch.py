@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ticketmill.operators import reports, runlog
 from ticketmill.plans import batch
+from ticketmill.schemas import FACT
 from ticketmill.sources import layers, reference_data
 
 LEXICON = {"down": -0.8, "thanks": 0.9}
@@ -46,6 +47,7 @@ def test_run_and_rerun(spark, bronze, tmp_path):
 
     run(spark, bronze, root, "20260603_211114")
     fact = layers.read_layer(spark, f"{root}/support_tickets")
+    assert {f.name: f.dataType for f in fact.schema} == {f.name: f.dataType for f in FACT}
     assert fact.count() == 4 == fact.select("ticket_id").distinct().count()
 
     runs = batch.read_runs(spark, root)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +53,10 @@ def test_times_ignore_the_session_zone(spark):
     )
 
 
+def test_run_label():
+    assert timestamps.execution_label(datetime(2026, 6, 2, 21, 11, 14)) == "20260602_211114"
+
+
 def test_latency_cuts_seconds_toward_zero(spark):
     row = spark.sql(
         "SELECT timestamp_ntz'2026-06-01 10:00:59' a, timestamp_ntz'2026-06-01 10:01:01' b, CAST(NULL AS timestamp_ntz) n"

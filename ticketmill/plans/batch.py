@@ -62,7 +62,7 @@ def read_quarantine(spark: SparkSession, root: str, run: str | None = None) -> D
 
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
     """The stored fact with derived columns and names; the input of the reports."""
-    fact = layers.read_layer(spark, f"{root}/{FACT_TABLE}")
+    fact = layers.read_layer(spark, f"{root}/{FACT_TABLE}", schema=schemas.FACT)
     return load.gold_tickets(fact, reference_data.dim_regions(spark), reference_data.dim_categories(spark))
 
 
@@ -177,7 +177,7 @@ def load_run(
         last = _run_log(spark, root).agg(F.max(F.get_json_object("metrics", "$.last_ticket_id").cast("bigint")))
         keyed = load.with_generated_key(fact, "ticket_id", start_after=last.first()[0] or 0)
         layers.write_run(keyed, f"{root}/{FACT_TABLE}", run)
-        return layers.read_layer(spark, f"{root}/{FACT_TABLE}", run).agg(
+        return layers.read_layer(spark, f"{root}/{FACT_TABLE}", run, schemas.FACT).agg(
             F.count(F.lit(1)).alias("rows_loaded"),
             F.lit(FACT_TABLE).alias("target_table"),
             F.max("ticket_id").alias("last_ticket_id"),

@@ -13,6 +13,8 @@ def cluster_options(input_bytes: int, cores: int, partition_bytes: int = 256 * M
     The operators shuffle each row once at most in full width, so the input size stands for the
     largest shuffle. Partitions start at a size that sorts in memory and are merged by adaptive
     execution where a stage turns out smaller; a shuffle has at least two waves of tasks to even out.
+    A join whose measured partitions on one side are small, such as the newest row ids of the dedup,
+    is hashed instead of sorting the full rows of the other side.
     """
     partitions = max(2 * cores, -(-input_bytes // partition_bytes))
     return {
@@ -22,6 +24,7 @@ def cluster_options(input_bytes: int, cores: int, partition_bytes: int = 256 * M
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.session.timeZone": "UTC",
@@ -34,6 +37,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .appName("ticketmill")
         .config("spark.sql.shuffle.partitions", shuffle_partitions)
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", 64 * MIB)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")

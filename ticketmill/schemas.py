@@ -29,6 +29,21 @@ FACT_COLUMNS = [
 ]
 FACT_REQUIRED = ["email_address", "created_at", "customer_text", "sentiment_score", "analysis_source"]
 
+# The stored fact; the run id is its partition column.
+FACT = _struct(
+    ("email_address", T.StringType(), False),
+    ("created_at", T.TimestampNTZType(), False),
+    ("customer_text", T.StringType(), False),
+    ("first_response_at", T.TimestampNTZType(), True),
+    ("sentiment_score", T.DoubleType(), False),
+    ("analysis_source", T.StringType(), False),
+    ("region_id", T.IntegerType(), True),
+    ("category_id", T.IntegerType(), True),
+    ("ingestion_date", T.TimestampNTZType(), True),
+    ("ticket_id", T.LongType(), False),
+    (EXECUTION_ID, T.StringType(), False),
+)
+
 DIM_REGIONS = _struct(("region_id", T.IntegerType(), False), ("region_name", T.StringType(), False))
 DIM_CATEGORIES = _struct(("category_id", T.IntegerType(), False), ("category_name", T.StringType(), False))
 PIPELINES = _struct(

@@ -74,7 +74,9 @@ def run_path(path: str, run: str) -> str:
 
 def write_run(df: DataFrame, path: str, run: str, partition_by: Sequence[str] = ()) -> None:
     """Replace one run's partition, also when the run has no rows left. Safe to repeat."""
-    df.drop(EXECUTION_ID).write.mode("overwrite").partitionBy(*partition_by).parquet(run_path(path, run))
+    df.drop(EXECUTION_ID).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        *partition_by
+    ).parquet(run_path(path, run))
 
 
 def write_runs(df: DataFrame, path: str) -> None:

@@ -492,5 +492,8 @@ FROM (SELECT *, {RUN_OF_FACT} AS execution_id FROM fact) WHERE execution_id <> '
     ),
     "stream_ingest_valid": with_ctes(CHECKED, f"SELECT {VALID_COLUMNS} FROM valid"),
     "stream_ingest_quarantine": with_ctes(CHECKED, "SELECT * FROM quarantine"),
+    "stream_first_copies": with_ctes(
+        CHECKED, "SELECT DISTINCT email_address, customer_text FROM checked WHERE created IS NOT NULL"
+    ),
     "stream_dedup_latest": with_ctes(CHECKED, f"SELECT {VALID_COLUMNS} FROM valid"),
 }

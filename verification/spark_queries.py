@@ -422,6 +422,16 @@ def stream_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.current_tickets(batch.read_validated(spark, root)).drop(EXECUTION_ID)
 
 
+def stream_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per ticket key within the watermark; which copy comes first is up to the stream."""
+    path = new_folder(spark, "first")
+    kept = streams.first_copies(streams.typed_stream(_event_stream(spark, sf_dir)))
+    kept.select("email_address", "customer_text").writeStream.format("parquet").option("path", path).option(
+        "checkpointLocation", new_folder(spark, "checkpoint")
+    ).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(path)
+
+
 def _event_stream(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
     """Raw tickets as a file stream; several files make several micro-batches."""
     source = new_folder(spark, "arriving")
@@ -510,4 +520,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest_valid": stream_ingest_valid,
     "stream_ingest_quarantine": stream_ingest_quarantine,
     "stream_dedup_latest": stream_dedup_latest,
+    "stream_first_copies": stream_first_copies,
 }
