@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ticketmill.fixed_values import EXECUTION_ID_FORMAT, TIMESTAMP_FORMATS
+from ticketmill.fixed_values import EARLIEST_TIME, EXECUTION_ID_FORMAT, LATEST_TIME, TIMESTAMP_FORMATS
 from ticketmill.functions.numeric import round_half_up
 from ticketmill.functions.text import strip
 
@@ -58,6 +58,11 @@ def parse_timestamp(text: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) ->
     return F.when(text.rlike(ISO_DATE), text.try_cast(NTZ)).when(text.rlike(HAS_DIGIT), F.coalesce(*again))
 
 
+def within_clock(value: Column) -> Column:
+    """The time when a 64-bit nanosecond clock can show it, else null: 9999-12-31 is no ticket time."""
+    return F.when(value.between(ntz(EARLIEST_TIME), ntz(LATEST_TIME)), value)
+
+
 def to_event_time(value: Column) -> Column:
     """The same clock reading as a zoned timestamp in UTC, which watermarks and windows ask for."""
     return F.timestamp_micros(_whole_micros(value))

@@ -26,7 +26,7 @@ from ticketmill.fixed_values import (
 )
 from ticketmill.functions.numeric import percentage
 from ticketmill.functions.text import digest, is_blank, is_email
-from ticketmill.functions.timestamps import ntz, parse_timestamp
+from ticketmill.functions.timestamps import ntz, parse_timestamp, within_clock
 from ticketmill.operators.dedup import keep_latest, mark_superseded
 from ticketmill.operators.lookup import flag_members
 from ticketmill.operators.rules import FAILED_RULES, REASON, Rule, apply_rules
@@ -94,6 +94,7 @@ def check_tickets(
     """
     times = {CREATED: "created_at", RESPONDED: "first_response_at"}
     parsed = require_columns(bronze).withColumns({new: parse_timestamp(F.col(raw), formats) for new, raw in times.items()})
+    parsed = parsed.withColumns({new: within_clock(F.col(new)) for new in times})
     named = regions.where(~is_blank(F.col(region_column)))
     flagged = flag_members(parsed, "region", named, region_column, "_known_region")
     return apply_rules(flagged, ticket_rules(as_of, F.col("_known_region"))).drop("_known_region")
