@@ -144,3 +144,11 @@ def test_the_shared_folder_is_the_clusters():
         shared.shared_folder(session(None))
     local = session(None, master="local[8]")
     assert shared.shared_folder(local) == shared.shared_folder(local)
+
+
+def test_windows_line_ends_and_byte_order_mark(spark, tmp_path):
+    lines = ["email_address,created_at,customer_text,region,first_response_at", 'a@b.c,2026-06-01,"x, y",JP-TOKYO,', ""]
+    (tmp_path / "a.csv").write_bytes(b"\xef\xbb\xbf" + "\r\n".join(lines).encode())
+    for multi_line in (True, False):
+        row = layers.read_bronze_csv(spark, str(tmp_path), multi_line=multi_line).first()
+        assert (row.email_address, row.customer_text, row.first_response_at) == ("a@b.c", "x, y", None)
