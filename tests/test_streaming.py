@@ -74,6 +74,19 @@ def test_trend_grows_over_triggers(spark, tmp_path):
     assert trend() == {"2026-06-01 10:00": 3, "2026-06-01 11:00": 1}
 
 
+def test_late_rows_count_without_a_watermark(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "trend")
+
+    def trend():
+        stream = streams.typed_stream(streams.read_stream(spark, source, files_per_batch=1))
+        return {r.created_date: r.ticket_count for r in streams.run_hourly_counts(stream, root).collect()}
+
+    drop_file(source, "a", [ticket(), ticket(created_at="2026-06-09 11:00:00")])
+    assert trend() == {"2026-06-01 10:00": 1, "2026-06-09 11:00": 1}
+    drop_file(source, "b", [ticket(), ticket(created_at="2020-01-01 00:00:00")])
+    assert trend() == {"2020-01-01 00:00": 1, "2026-06-01 10:00": 2, "2026-06-09 11:00": 1}
+
+
 def test_first_copies(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     drop_file(source, "a", [ticket(), ticket(created_at="2026-06-01 12:00:00")])

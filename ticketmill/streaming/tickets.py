@@ -7,13 +7,15 @@ leaves the same tables.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.group import GroupedData
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ticketmill.fixed_values import DUPLICATE_KEY, NA_TOKENS
 from ticketmill.functions.text import null_missing
@@ -85,13 +87,17 @@ def typed_stream(stream: DataFrame) -> DataFrame:
 
 
 def hourly_trend(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Tickets per hour of creation, as an event-time window; state is bounded by the delay."""
+    """Tickets per hour of creation, as an event-time window.
+
+    State is bounded by the delay, and rows that come later than it are not counted any more; use
+    `run_hourly_counts` where every row has to count.
+    """
     hour = F.window(EVENT_TIME, "1 hour")
     return stream.withWatermark(EVENT_TIME, delay).groupBy(hour).agg(F.count(F.lit(1)).alias("ticket_count"))
 
 
 def run_hourly_trend(stream: DataFrame, root: str, delay: str = "1 day") -> DataFrame:
-    """Fold all new rows into the stored trend and return it.
+    """Fold all new rows into the windows and return the trend.
 
     Each batch stores the hours it changed; counts only grow, so the largest count of an hour is
     the current one.
@@ -101,8 +107,29 @@ def run_hourly_trend(stream: DataFrame, root: str, delay: str = "1 day") -> Data
         label = hour_label(from_event_time(F.col("window.start"))).alias("created_date")
         layers.write_run(changed.select(label, "ticket_count"), f"{root}/trend", run_of_batch(number))
 
-    hourly_trend(stream, delay).writeStream.outputMode("update").foreachBatch(handle).option(
-        "checkpointLocation", f"{root}/_checkpoint"
-    ).trigger(availableNow=True).start().awaitTermination()
-    stored = layers.read_layer(stream.sparkSession, f"{root}/trend")
-    return stored.groupBy("created_date").agg(F.max("ticket_count").alias("ticket_count"))
+    _run(hourly_trend(stream, delay).writeStream.outputMode("update"), handle, root)
+    return _stored_trend(stream.sparkSession, root).agg(F.max("ticket_count").alias("ticket_count"))
+
+
+def run_hourly_counts(stream: DataFrame, root: str) -> DataFrame:
+    """Count all new rows and return the trend. Each batch stores its own counts per hour and the
+    trend is their sum: there is no state, and no row is too late."""
+
+    def handle(batch: DataFrame, number: int) -> None:
+        hour = hour_label(F.col("created_at")).alias("created_date")
+        counts = batch.groupBy(hour).agg(F.count(F.lit(1)).alias("ticket_count"))
+        layers.write_run(counts, f"{root}/trend", run_of_batch(number))
+
+    _run(stream.writeStream, handle, root)
+    return _stored_trend(stream.sparkSession, root).agg(F.sum("ticket_count").alias("ticket_count"))
+
+
+def _run(writer: DataStreamWriter, handle: Callable[[DataFrame, int], None], root: str) -> None:
+    writer.foreachBatch(handle).option("checkpointLocation", f"{root}/_checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+
+
+def _stored_trend(spark: SparkSession, root: str) -> GroupedData:
+    schema = "created_date string, ticket_count bigint, execution_id string"
+    return spark.read.schema(schema).parquet(f"{root}/trend").groupBy("created_date")

@@ -253,6 +253,9 @@ SEVERITY_REPORT = f"""SELECT severity, count(*) AS ticket_count, count(first_res
   count(*) - count(first_response_at) AS unanswered_tickets,
   {rounded("avg(CAST(response_latency_hrs AS DECIMAL(18,2)))", 2)} AS avg_latency_hrs FROM gold GROUP BY 1"""
 
+HOURLY_STREAM = """SELECT strftime(date_trunc('hour', created), '%Y-%m-%d %H:%M') AS created_date,
+  count(*) AS ticket_count FROM checked WHERE created IS NOT NULL GROUP BY 1"""
+
 ORACLES: dict[str, str] = {
     "tickets_raw": with_ctes(TICKETS, "SELECT * FROM tickets"),
     "validate_reasons": with_ctes(CHECKED, "SELECT _row_id, failure_reason FROM checked"),
@@ -485,11 +488,8 @@ FROM (SELECT *, {RUN_OF_FACT} AS execution_id FROM fact) WHERE execution_id <> '
     "run_from_raw_to_gold": with_ctes(
         SCORED + f",\nsilver AS ({silver('scored', 'model_reply')})" + TO_GOLD, SEVERITY_REPORT
     ),
-    "stream_hourly_trend": with_ctes(
-        CHECKED,
-        "SELECT strftime(date_trunc('hour', created), '%Y-%m-%d %H:%M') AS created_date, count(*) AS ticket_count "
-        "FROM checked WHERE created IS NOT NULL GROUP BY 1",
-    ),
+    "stream_hourly_trend": with_ctes(CHECKED, HOURLY_STREAM),
+    "stream_hourly_counts": with_ctes(CHECKED, HOURLY_STREAM),
     "stream_ingest_valid": with_ctes(CHECKED, f"SELECT {VALID_COLUMNS} FROM valid"),
     "stream_ingest_quarantine": with_ctes(CHECKED, "SELECT * FROM quarantine"),
     "stream_first_copies": with_ctes(

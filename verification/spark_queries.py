@@ -406,6 +406,11 @@ def stream_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.run_hourly_trend(streams.typed_stream(_event_stream(spark, sf_dir)), new_folder(spark, "trend"))
 
 
+def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = streams.typed_stream(_event_stream(spark, sf_dir, files=3))
+    return streams.run_hourly_counts(stream, new_folder(spark, "trend"))
+
+
 def stream_ingest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _ingested(spark, sf_dir)
     return batch.read_validated(spark, root).drop(EXECUTION_ID)
@@ -517,6 +522,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_known_keys": append_known_keys,
     "run_from_raw_to_gold": run_from_raw_to_gold,
     "stream_hourly_trend": stream_hourly_trend,
+    "stream_hourly_counts": stream_hourly_counts,
     "stream_ingest_valid": stream_ingest_valid,
     "stream_ingest_quarantine": stream_ingest_quarantine,
     "stream_dedup_latest": stream_dedup_latest,
