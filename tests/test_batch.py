@@ -99,6 +99,14 @@ def test_failures_are_logged_and_raised(spark, bronze, tmp_path):
     assert [(r.stage_id, r.error_message) for r in failed] == [(3, "division by zero"), (2, "Input dataset is empty.")]
 
 
+def test_a_load_that_breaks_a_constraint_writes_nothing(spark, bronze, tmp_path):
+    root = str(tmp_path / "lake")
+    with pytest.raises(ValueError, match="constraint violated: customer_text is longer than 1000"):
+        run(spark, bronze, root, "r1", raw=[ticket(), ticket(customer_text="ä" * 501)])
+    assert not (tmp_path / "lake" / "support_tickets").exists()
+    assert [r.stage_id for r in runlog.failed_runs(batch.read_runs(spark, root)).collect()] == [4]
+
+
 def test_run_state_of_repeated_and_running_events(spark):
     runs = spark.createDataFrame([(1, "e", 1), (2, "e", 1), (3, "e", 2)], "run_id long, execution_id string, stage_id long")
     start, end = (F.lit(t).cast("timestamp_ntz") for t in ("2026-06-01 10:00:00.9", "2026-06-01 10:00:03.1"))

@@ -7,8 +7,19 @@ from conftest import AS_OF, ticket
 from pyspark.sql import functions as F
 
 from ticketmill.operators import validation
-from ticketmill.operators.constraints import duplicate_keys, in_set_rules, max_length_rules, not_null_rules, orphans
+from ticketmill.operators.constraints import (
+    duplicate_keys,
+    in_set_rules,
+    max_length_rules,
+    not_null_rules,
+    orphans,
+    pipeline_rules,
+    require_rules,
+    run_rules,
+    violations,
+)
 from ticketmill.operators.rules import apply_rules
+from ticketmill.sources import reference_data
 
 CASES = [
     (ticket(), ""),
@@ -128,3 +139,17 @@ def test_duplicate_keys_and_orphans(spark):
     parent = spark.createDataFrame([(1,), (1,), (None,)], "id int")
     assert [tuple(r) for r in duplicate_keys(child, ["fk"]).collect()] == [(1, 2)]
     assert [r.id for r in orphans(child, "fk", parent, "id").collect()] == [5]
+
+
+def test_rules_of_the_stored_tables(spark):
+    runs = spark.createDataFrame(
+        [("e", 1, "SUCCESS", None), ("e", None, "DONE", "x" * 1001), ("e" * 21, 2, None, "x")],
+        "execution_id string, stage_id long, run_status string, error_message string",
+    )
+    assert {r.failure_reason for r in violations(runs, run_rules()).collect()} == {
+        "stage_id is NULL; run_status not allowed: DONE; error_message is longer than 1000",
+        "execution_id is longer than 20",
+    }
+    assert violations(reference_data.pipelines(spark), pipeline_rules()).isEmpty()
+    with pytest.raises(ValueError, match="stage_id is NULL"):
+        require_rules(runs.where("stage_id IS NULL"), run_rules())

@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketmill.operators.rules import Rule
+from ticketmill.fixed_values import ACTIVE_FLAGS, ERROR_MESSAGE_LENGTH, FACT_LENGTHS, RUN_STATUSES
+from ticketmill.operators.rules import REASON, Rule, apply_rules
+from ticketmill.schemas import FACT_REQUIRED
 
 
 def not_null_rules(columns: Sequence[str]) -> list[Rule]:
@@ -30,6 +32,36 @@ def max_length_rules(lengths: Mapping[str, int], in_bytes: bool = True) -> list[
     ]
 
 
+def fact_rules() -> list[Rule]:
+    return not_null_rules(FACT_REQUIRED) + max_length_rules(FACT_LENGTHS)
+
+
+def run_rules() -> list[Rule]:
+    return (
+        not_null_rules(["execution_id", "stage_id"])
+        + in_set_rules({"run_status": RUN_STATUSES})
+        + max_length_rules({"execution_id": 20, "error_message": ERROR_MESSAGE_LENGTH})
+    )
+
+
+def pipeline_rules() -> list[Rule]:
+    return not_null_rules(["pipeline_code", "pipeline_name"]) + in_set_rules({"is_active": ACTIVE_FLAGS})
+
+
+def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows that break a rule, with the reason."""
+    judged = apply_rules(df, rules)
+    return judged.where(F.col(REASON) != "")
+
+
+def require_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Fail when any row breaks a rule, as a table with constraints refuses the whole insert."""
+    broken = violations(df, rules).select(REASON).limit(1).first()
+    if broken:
+        raise ValueError(f"constraint violated: {broken[REASON]}")
+    return df
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count. Rows with a null key part are not compared."""
     present: Column = F.lit(True)

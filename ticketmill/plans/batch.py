@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ticketmill import schemas
 from ticketmill.fixed_values import FACT_TABLE
 from ticketmill.operators import load, runlog, validation
+from ticketmill.operators.constraints import fact_rules, require_rules
 from ticketmill.operators.enrichment import enrich_tickets, enrichment_summary, lexicon_polarity
 from ticketmill.operators.lookup import lookup_stage_ids
 from ticketmill.operators.scoring import score_tickets
@@ -165,7 +166,10 @@ def enrich_run(
 def load_run(
     spark: SparkSession, root: str, run: str, ingested_at: datetime | str | Column | None = None
 ) -> None:
-    """Fact rows of one run, replacing an earlier load of it. Keys continue after the last load logged."""
+    """Fact rows of one run, replacing an earlier load of it. Keys continue after the last load logged.
+
+    A row that breaks a constraint of the fact table fails the load before anything is written.
+    """
 
     def work() -> DataFrame:
         fact = load.prepare_fact(
@@ -174,6 +178,7 @@ def load_run(
             reference_data.dim_categories(spark),
             F.localtimestamp() if ingested_at is None else ingested_at,
         )
+        require_rules(fact, fact_rules())
         last = _run_log(spark, root).agg(F.max(F.get_json_object("metrics", "$.last_ticket_id").cast("bigint")))
         keyed = load.with_generated_key(fact, "ticket_id", start_after=last.first()[0] or 0)
         layers.write_run(keyed, f"{root}/{FACT_TABLE}", run)

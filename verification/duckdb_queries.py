@@ -311,6 +311,21 @@ FROM judged JOIN run_of USING (_row_id) GROUP BY execution_id""",
 WHERE failure_reason <> ''""",
     "in_set_check": """SELECT event_id, 'run_status not allowed: ' || event_type AS failure_reason FROM events
 WHERE event_type NOT IN ('error', 'view', 'click')""",
+    "fact_check": """SELECT * FROM (SELECT doc_id, concat_ws('; ',
+    CASE WHEN doc_id % 17 = 0 THEN 'email_address is NULL'
+      WHEN strlen(source || '@x.org') > 100 THEN 'email_address is longer than 100' END,
+    CASE WHEN strlen(text) > 1000 THEN 'customer_text is longer than 1000' END,
+    CASE WHEN doc_id % 13 = 0 THEN 'sentiment_score is NULL' END,
+    CASE WHEN strlen(lang) * (20 + doc_id % 10) > 50 THEN 'analysis_source is longer than 50' END) AS failure_reason
+  FROM documents) WHERE failure_reason <> ''""",
+    "run_log_check": with_ctes(
+        RUNS,
+        """SELECT * FROM (SELECT run_id, concat_ws('; ',
+    CASE WHEN run_id % 50 = 0 THEN 'stage_id is NULL' END,
+    CASE WHEN run_id % 30 = 0 THEN 'run_status not allowed: LOST' END) AS failure_reason
+  FROM (SELECT run_id FROM runs UNION ALL SELECT run_id FROM runs WHERE run_status <> 'STARTED'))
+WHERE failure_reason <> ''""",
+    ),
     "unique_check": with_ctes(
         TICKETS,
         """SELECT email_address, customer_text, count(*) AS row_count FROM tickets

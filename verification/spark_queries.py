@@ -126,6 +126,30 @@ def in_set_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.where(F.col("failure_reason") != "").select("event_id", "failure_reason")
 
 
+def fact_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows the fact table would refuse: documents as ticket texts, with some values missing."""
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.when(F.col("doc_id") % 17 != 0, F.concat(F.col("source"), F.lit("@x.org"))).alias("email_address"),
+        F.lit(AS_OF).cast("timestamp_ntz").alias("created_at"),
+        F.col("text").alias("customer_text"),
+        F.when(F.col("doc_id") % 13 != 0, F.lit(0.5)).alias("sentiment_score"),
+        F.repeat("lang", F.lit(20) + F.col("doc_id").cast("int") % 10).alias("analysis_source"),
+    )
+    return constraints.violations(rows, constraints.fact_rules()).select("doc_id", "failure_reason")
+
+
+def run_log_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run events with unknown statuses and missing stages."""
+    log = run_log(spark, sf_dir).withColumns(
+        {
+            "stage_id": F.when(F.col("run_id") % 50 != 0, F.col("stage_id")),
+            "run_status": F.when(F.col("run_id") % 30 == 0, F.lit("LOST")).otherwise(F.col("run_status")),
+        }
+    )
+    return constraints.violations(log, constraints.run_rules()).select("run_id", "failure_reason")
+
+
 def unique_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.duplicate_keys(tickets_raw(spark, sf_dir), ["email_address", "customer_text"])
 
@@ -479,6 +503,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "not_null_check": not_null_check,
     "max_length_check": max_length_check,
     "in_set_check": in_set_check,
+    "fact_check": fact_check,
+    "run_log_check": run_log_check,
     "unique_check": unique_check,
     "unique_check_lineitem": unique_check_lineitem,
     "referential_check": referential_check,
