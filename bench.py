@@ -40,6 +40,7 @@ HEADLINE = [
     "run_health",
     "stage_performance",
     "run_lineage",
+    "run_from_raw_to_gold",
     "csv_round_trip",
     "partition_overwrite_rerun",
     "stream_ingest_valid",

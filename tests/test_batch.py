@@ -26,9 +26,8 @@ def rows():
 
 
 def run(spark, bronze, root, name, raw=None, **options):
-    batch.validate_run(spark, bronze(rows() if raw is None else raw).drop("_row_id"), root, name, AS_OF)
-    batch.enrich_run(spark, root, name, LEXICON, **options)
-    batch.load_run(spark, root, name, AS_OF)
+    raw = bronze(rows() if raw is None else raw).drop("_row_id")
+    batch.run_all(spark, raw, root, name, LEXICON, as_of=AS_OF, **options)
 
 
 def test_run_and_rerun(spark, bronze, tmp_path):
@@ -51,10 +50,11 @@ def test_run_and_rerun(spark, bronze, tmp_path):
     assert fact.count() == 4 == fact.select("ticket_id").distinct().count()
 
     runs = batch.read_runs(spark, root)
-    assert runs.count() == 9
+    assert runs.count() == 12
     latest = runlog.latest_attempts(runs).where("execution_id = '20260602_211114'").orderBy("stage_id").collect()
-    assert [(r.stage_id, r.run_status) for r in latest] == [(2, "SUCCESS"), (3, "SUCCESS"), (4, "SUCCESS")]
-    validated, enriched, loaded = (json.loads(r.metrics) for r in latest)
+    assert [(r.stage_id, r.run_status) for r in latest] == [(s, "SUCCESS") for s in (1, 2, 3, 4)]
+    landed, validated, enriched, loaded = (json.loads(r.metrics) for r in latest)
+    assert landed == {"rows_generated": 4, "output_file": "20260602_211114"}
     assert validated == {
         "rows_read": 4, "rows_valid": 2, "rows_quarantined": 2, "validation_pass_rate": 50.0,
         "valid_output_file": "20260602_211114/valid", "quarantine_output_file": "20260602_211114/quarantined",
@@ -67,14 +67,14 @@ def test_run_and_rerun(spark, bronze, tmp_path):
     usage = runlog.ai_usage_over_runs(runs, stage_id=3).collect()
     assert sum(r.rows_enriched for r in usage) == 6
     lineage = runlog.run_lineage(runs, reference_data.stage_names()).orderBy("execution_id").first()
-    assert (lineage.attempts, lineage.generate_raw_data, lineage.load_to_lakehouse) == (6, None, "SUCCESS")
+    assert (lineage.attempts, lineage.generate_raw_data, lineage.load_to_lakehouse) == (8, "SUCCESS", "SUCCESS")
 
 
 def test_a_run_without_valid_rows_succeeds(spark, bronze, tmp_path):
     root = str(tmp_path / "lake")
     run(spark, bronze, root, "r1", raw=[ticket(region=None)])
     assert batch.read_gold(spark, root).count() == 0
-    assert [r.run_status for r in batch.read_runs(spark, root).collect()] == ["SUCCESS"] * 3
+    assert [r.run_status for r in batch.read_runs(spark, root).collect()] == ["SUCCESS"] * 4
 
 
 def test_model_replies_are_stored_once(spark, bronze, tmp_path):
@@ -92,7 +92,7 @@ def test_model_replies_are_stored_once(spark, bronze, tmp_path):
 def test_failures_are_logged_and_raised(spark, bronze, tmp_path):
     root = str(tmp_path / "lake")
     with pytest.raises(ValueError, match="Input dataset is empty."):
-        batch.validate_run(spark, bronze([]), root, "r1", AS_OF)
+        run(spark, bronze, root, "r1", raw=[])
     with pytest.raises(ZeroDivisionError):
         batch.logged_stage(spark, root, "r1", "AI Enrichment", lambda: 1 / 0)
     failed = runlog.failed_runs(batch.read_runs(spark, root)).collect()

@@ -78,7 +78,7 @@ def brute_force(text, lexicon):
 
 def test_both_lexicon_forms_agree_with_brute_force(spark):
     rng = random.Random(3)
-    lexicon = {f"w{i}": round(rng.uniform(-1, 1), 2) for i in range(300)}
+    lexicon = {f"w{i}": round(rng.uniform(-1, 1), rng.choice([1, 2, 6])) for i in range(300)} | {"w7": 1e-06, "w8": -1.0}
     texts = [" ".join(f"W{rng.randrange(500)}" for _ in range(rng.randrange(0, 40))) + "!" for _ in range(200)]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
     table = spark.createDataFrame(list(lexicon.items()), "word string, polarity double")

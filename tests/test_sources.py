@@ -75,8 +75,11 @@ def test_one_run_is_replaced_and_read_alone(spark, folder):
     ]
     layers.write_run(df.limit(0), path, "007")
     assert [r.n for r in layers.read_layer(spark, path).collect()] == [4]
-    plan = physical_plan(layers.read_layer(spark, path, "008"))
-    assert "PartitionFilters: [isnotnull(execution_id" in plan
+    assert layers.read_layer(spark, path, "007").isEmpty()
+    assert [tuple(r) for r in layers.read_layer(spark, path, "008").select(EXECUTION_ID, "n").collect()] == [("008", 4)]
+    assert all("/execution_id=008/" in file for file in layers.read_layer(spark, path, "008").inputFiles())
+    later = layers.read_layer(spark, path).where(F.col(EXECUTION_ID) > "007")
+    assert "PartitionFilters: [isnotnull(execution_id" in physical_plan(later)
 
 
 def test_append_repeats_and_append_new_does_not(spark, folder):

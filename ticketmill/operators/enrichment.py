@@ -81,7 +81,7 @@ def lexicon_polarity(text: Column, lexicon: Mapping[str, float]) -> Column:
     size = 2 * len(lexicon) + 1
     slots: list[dict[str, float]] = [{} for _ in range(size)]
     for word, polarity in lexicon.items():
-        slots[zlib.crc32(word.encode()) % size][word] = polarity
+        slots[zlib.crc32(word.encode()) % size][word] = round(polarity, 6)
     table = F.from_json(F.lit(json.dumps(slots)), f"array<map<string,{POLARITY}>>")
 
     def found(word: Column) -> Column:

@@ -103,11 +103,22 @@ def logged_stage(
         raise
 
 
-def validate_run(
-    spark: SparkSession, raw: DataFrame, root: str, run: str, as_of: datetime | str | Column | None = None
-) -> None:
+def land_run(spark: SparkSession, raw: DataFrame, root: str, run: str) -> None:
+    """Raw rows of one run, from whatever source, into the bronze layer."""
+
+    def work() -> DataFrame:
+        stored = land(raw, root, run)
+        return stored.agg(F.count(F.lit(1)).alias("rows_generated"), F.lit(run).alias("output_file"))
+
+    logged_stage(spark, root, run, "Generate Raw Data", work)
+
+
+def validate_run(spark: SparkSession, root: str, run: str, as_of: datetime | str | Column | None = None) -> None:
+    """Verdicts on the landed rows of one run; `as_of` is now unless given."""
+
     def work() -> DataFrame:
-        bronze = land(validation.require_rows(validation.require_columns(raw)), root, run)
+        bronze = layers.read_layer(spark, f"{root}/bronze", run)
+        validation.require_rows(validation.require_columns(bronze))
         judge(bronze, reference_data.dim_regions(spark), F.localtimestamp() if as_of is None else as_of, root, run)
         summary = validation.summarize_judged(layers.read_layer(spark, f"{root}/judged", run))
         name = F.lit(f"{run}/")
@@ -189,3 +200,20 @@ def load_run(
         )
 
     logged_stage(spark, root, run, "Load to Lakehouse", work)
+
+
+def run_all(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    run: str,
+    lexicon: Mapping[str, float],
+    score: Callable[[str], str | None] | None = None,
+    as_of: datetime | str | Column | None = None,
+    **scoring: object,
+) -> None:
+    """All four stages of one run, one after the other; the first failure ends it."""
+    land_run(spark, raw, root, run)
+    validate_run(spark, root, run, as_of)
+    enrich_run(spark, root, run, lexicon, score, **scoring)
+    load_run(spark, root, run, as_of)

@@ -105,15 +105,17 @@ def read_layer(
 ) -> DataFrame:
     """A stored layer, or one run of it. The run id stays text even when it looks like a number.
 
-    Give the schema where it is known: it saves reading a footer and listing the files twice.
+    One run is read from its own folder, so the folders of all other runs are not even listed. Give
+    the schema where it is known: it saves reading a footer and listing the files twice.
     """
+    reader = spark.read.option("basePath", path)
+    folder = path if run is None else run_path(path, run)
     if schema is None:
-        found = spark.read.parquet(path).schema
+        found = reader.parquet(folder).schema
         schema = T.StructType(
             [T.StructField(f.name, T.StringType() if f.name == EXECUTION_ID else f.dataType, True) for f in found]
         )
-    layer = spark.read.schema(schema).parquet(path)
-    return layer if run is None else layer.where(F.col(EXECUTION_ID) == run)
+    return reader.schema(schema).parquet(folder)
 
 
 def write_if_rows(df: DataFrame, write: Callable[[DataFrame], None]) -> bool:

@@ -480,11 +480,10 @@ def _ingested(spark: SparkSession, sf_dir: str, files: int = 1) -> str:
 def run_from_raw_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored run: raw rows land, are judged, enriched by the stand-in model and loaded; then a report."""
     root, run = new_folder(spark, "lake"), "20240201_000000"
-    batch.validate_run(spark, tickets_raw(spark, sf_dir), root, run, AS_OF)
-    batch.enrich_run(
-        spark, root, run, LEXICON, length_scorer(), max_retries=1, delay_seconds=0, sleep=lambda seconds: None
-    )
-    batch.load_run(spark, root, run, AS_OF)
+    batch.run_all(
+        spark, tickets_raw(spark, sf_dir), root, run, LEXICON, length_scorer(), AS_OF, max_retries=1, delay_seconds=0,
+        sleep=lambda seconds: None,
+    )
     return reports.severity_report(batch.read_gold(spark, root))
 
 
