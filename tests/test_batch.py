@@ -89,6 +89,17 @@ def test_model_replies_are_stored_once(spark, bronze, tmp_path):
     assert {(r.category, r.sentiment_score) for r in batch.read_gold(spark, root).collect()} == {("Billing", 0.6)}
 
 
+def test_a_lexicon_table_gives_the_same_silver_rows(spark, bronze, tmp_path):
+    root = str(tmp_path / "lake")
+    run(spark, bronze, root, "r1")
+    columns = ["email_address", "sentiment_score", "category", "analysis_source"]
+    first = layers.read_layer(spark, f"{root}/silver", "r1").select(columns).collect()
+    table = spark.createDataFrame(list(LEXICON.items()), "word string, polarity double")
+    batch.enrich_run(spark, root, "r1", table)
+    again = layers.read_layer(spark, f"{root}/silver", "r1")
+    assert sorted(again.select(columns).collect()) == sorted(first) and "_local_score" not in again.columns
+
+
 def test_failures_are_logged_and_raised(spark, bronze, tmp_path):
     root = str(tmp_path / "lake")
     with pytest.raises(ValueError, match="Input dataset is empty."):

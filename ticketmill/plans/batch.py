@@ -19,7 +19,7 @@ from ticketmill import schemas
 from ticketmill.fixed_values import FACT_TABLE
 from ticketmill.operators import load, runlog, validation
 from ticketmill.operators.constraints import fact_rules, require_rules
-from ticketmill.operators.enrichment import enrich_tickets, enrichment_summary, lexicon_polarity
+from ticketmill.operators.enrichment import enrich_tickets, enrichment_summary, lexicon_polarity, score_by_lexicon
 from ticketmill.operators.lookup import lookup_stage_ids
 from ticketmill.operators.scoring import score_tickets
 from ticketmill.schemas import EXECUTION_ID, ROW_ID, RUN_EVENTS
@@ -138,14 +138,15 @@ def enrich_run(
     spark: SparkSession,
     root: str,
     run: str,
-    lexicon: Mapping[str, float],
+    lexicon: Mapping[str, float] | DataFrame,
     score: Callable[[str], str | None] | None = None,
     parallel_callers: int | None = None,
     **scoring: object,
 ) -> None:
     """Silver rows of one run. Model replies are stored before use, so no later step repeats a call.
 
-    Retries and delay come from the configuration table unless given.
+    The lexicon is a dictionary or a table (`word`, `polarity`) of any size. Retries and delay come
+    from the configuration table unless given.
     """
 
     def work() -> DataFrame:
@@ -162,10 +163,13 @@ def enrich_run(
             scored = score_tickets(valid, score, parallel_callers=parallel_callers, **options)
             layers.write_run(scored, f"{root}/replies", run)
             replied = layers.read_layer(spark, f"{root}/replies", run, _with_run(scored.schema))
-        silver = enrich_tickets(
-            replied, reference_data.dim_categories(spark), lexicon_polarity(F.col("customer_text"), lexicon)
-        )
-        layers.write_run(silver, f"{root}/silver", run)
+        if isinstance(lexicon, DataFrame):
+            replied = score_by_lexicon(replied, "customer_text", ROW_ID, lexicon, "_local_score")
+            local_score = F.col("_local_score")
+        else:
+            local_score = lexicon_polarity(F.col("customer_text"), lexicon)
+        silver = enrich_tickets(replied, reference_data.dim_categories(spark), local_score)
+        layers.write_run(silver.drop("_local_score"), f"{root}/silver", run)
         stored = layers.read_layer(spark, f"{root}/silver", run)
         return enrichment_summary(stored).withColumn(
             "output_file", F.when(F.col("rows_enriched") > 0, F.lit(run)).otherwise("")
@@ -207,7 +211,7 @@ def run_all(
     raw: DataFrame,
     root: str,
     run: str,
-    lexicon: Mapping[str, float],
+    lexicon: Mapping[str, float] | DataFrame,
     score: Callable[[str], str | None] | None = None,
     as_of: datetime | str | Column | None = None,
     **scoring: object,
