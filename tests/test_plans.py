@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from ticketmill import schemas
 from ticketmill.operators import load, reports, validation
-from ticketmill.operators.enrichment import enrich_tickets, lexicon_polarity
+from ticketmill.operators.constraints import orphans
+from ticketmill.operators.dedup import drop_known
+from ticketmill.operators.enrichment import enrich_tickets, lexicon_polarity, score_by_lexicon
+from ticketmill.operators.lookup import flag_members, lookup_value
 from ticketmill.operators.scoring import score_tickets
 from ticketmill.plans.session import MIB, cluster_options
 from ticketmill.schemas import ROW_ID
@@ -95,6 +98,51 @@ def test_rule_conditions_are_evaluated_once(stored, regions):
     assert plan.count("RLIKE(email_address") == 1
 
 
+@pytest.fixture
+def splitting(spark):
+    """Thresholds at which a few thousand rows count as a skewed partition, and nothing is broadcast."""
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in options}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("operator", ["flag_members", "lookup_value", "orphans", "drop_known", "score_by_lexicon"])
+def test_a_hot_key_is_split_when_the_reference_is_shuffled(spark, splitting, tmp_path, operator):
+    """A third of the rows share one key; the reference repeats keys and is too large to broadcast."""
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id")))
+    spark.range(60_000).repartition(4).select(
+        "id", key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload")
+    ).write.parquet(str(tmp_path / "rows"))
+    spark.range(20_000).select(
+        F.concat(F.lit("k"), F.col("id") % 9000).alias("name"), F.col("id").alias("value")
+    ).write.parquet(str(tmp_path / "reference"))
+    rows, reference = (spark.read.parquet(str(tmp_path / n)) for n in ("rows", "reference"))
+    result = {
+        "flag_members": lambda: flag_members(rows, "k", reference, "name", "hit").where("NOT hit"),
+        "lookup_value": lambda: lookup_value(rows, "k", reference, "name", "value").where("value IS NULL"),
+        "orphans": lambda: orphans(rows, "k", reference, "name"),
+        "drop_known": lambda: drop_known(rows, reference.withColumnRenamed("name", "k"), ["k"]),
+        "score_by_lexicon": lambda: score_by_lexicon(
+            rows, "k", "id", reference.select(F.col("name").alias("word"), F.lit(0.5).alias("polarity")).union(
+                spark.sql("SELECT 'hot', 1.0")
+            )
+        ).where("sentiment_score <> 0.5"),
+    }[operator]()
+    counted = result.agg(F.count(F.lit(1)).alias("n"), F.max("payload"))
+    assert [row.n for row in counted.collect()] == [54_000]
+    assert "skew=true" in physical_plan(counted)
+
+
 def test_cluster_options():
     options = cluster_options(100 * 1024**4, cores=8000)
     assert int(options["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * MIB)

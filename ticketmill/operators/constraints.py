@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.fixed_values import ACTIVE_FLAGS, ERROR_MESSAGE_LENGTH, FACT_LENGTHS, RUN_STATUSES
+from ticketmill.operators.lookup import same_key
 from ticketmill.operators.rules import REASON, Rule, apply_rules
 from ticketmill.schemas import FACT_REQUIRED
 
@@ -79,5 +80,5 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) ->
     """
     keys = parent.select(F.col(key).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct()
     return child.where(F.col(foreign_key).isNotNull()).join(
-        keys, F.col(foreign_key) == F.col("_parent_key"), "left_anti"
+        keys, same_key(F.col(foreign_key), F.col("_parent_key")), "left_anti"
     )

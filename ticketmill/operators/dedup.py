@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketmill.functions.text import digest
+from ticketmill.operators.lookup import same_key
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], newest: str, tie: Sequence[str]) -> DataFrame:
@@ -58,5 +59,7 @@ def mark_superseded(
 
 def drop_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose text key does not occur in the known table (null-safe), compared by digest."""
-    key = digest(*[F.col(k) for k in keys]).alias("_key")
-    return df.withColumn("_key", key).join(known.select(key).distinct(), "_key", "left_anti").drop("_key")
+    key = digest(*[F.col(k) for k in keys])
+    stored = known.select(key.alias("_known_key")).distinct()
+    offered = df.withColumn("_key", key)
+    return offered.join(stored, same_key(F.col("_key"), F.col("_known_key")), "left_anti").drop("_key")

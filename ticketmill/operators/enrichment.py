@@ -28,7 +28,7 @@ from ticketmill.functions.numeric import (
     within_unit,
 )
 from ticketmill.functions.text import contains_any, strip
-from ticketmill.operators.lookup import flag_members, reference_mapping
+from ticketmill.operators.lookup import flag_members, reference_mapping, same_key
 
 WORD = r"[a-z0-9']+"
 LARGEST_INLINE_LEXICON = 20_000
@@ -113,11 +113,11 @@ def score_by_lexicon(
     shuffle, where adaptive execution splits a hot word. The score returns over the unique row id.
     """
     entries = reference_mapping(lexicon, "word", "polarity").select(
-        "word", F.col("polarity").cast(POLARITY).alias("_polarity")
+        F.col("word").alias("_entry"), F.col("polarity").cast(POLARITY).alias("_polarity")
     )
     scores = (
         df.select(row_id, F.explode(words(F.col(text))).alias("word"))
-        .join(entries, "word")
+        .join(entries, same_key(F.col("word"), F.col("_entry")))
         .groupBy(row_id)
         .agg(F.sum("_polarity").cast(POLARITY_SUM).alias("total"), F.count(F.lit(1)).alias("hits"))
         .select(row_id, _mean(F.struct("total", "hits")).alias(output))

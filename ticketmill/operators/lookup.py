@@ -8,10 +8,21 @@ to one row per key first, so a lookup never multiplies rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def same_key(left: Column, right: Column) -> Column:
+    """Equality of two join keys, and of their hashes.
+
+    The hash changes no result. It gives the join a key list of its own, so Spark shuffles the
+    aggregated reference side for the join instead of reusing the exchange below its aggregate. Only
+    then are both join inputs plain shuffles, and only those can adaptive execution split when a key
+    is hot.
+    """
+    return (F.xxhash64(left) == F.xxhash64(right)) & (left == right)
+
+
 def reference_values(reference: DataFrame, column: str) -> DataFrame:
     """Distinct non-null values of one column."""
     return reference.select(column).where(F.col(column).isNotNull()).distinct()
@@ -27,7 +38,7 @@ def flag_members(df: DataFrame, column: str, reference: DataFrame, reference_col
     known = reference_values(reference, reference_column).select(
         F.col(reference_column).alias("_member"), F.lit(True).alias("_found")
     )
-    joined = df.join(known, F.col(column) == F.col("_member"), "left")
+    joined = df.join(known, same_key(F.col(column), F.col("_member")), "left")
     return joined.withColumn(flag, F.coalesce("_found", F.lit(False))).drop("_member", "_found")
 
 
@@ -38,7 +49,7 @@ def lookup_value(
     mapping = reference_mapping(reference, key, value).select(
         F.col(key).alias("_lookup_key"), F.col(value).alias(output or value)
     )
-    return df.join(mapping, F.col(column) == F.col("_lookup_key"), "left").drop("_lookup_key")
+    return df.join(mapping, same_key(F.col(column), F.col("_lookup_key")), "left").drop("_lookup_key")
 
 
 def lookup_stage_ids(stages: DataFrame, pipelines: DataFrame, pipeline_code: str, stage_name: str) -> DataFrame:

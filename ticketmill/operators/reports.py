@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ticketmill.functions.numeric import average, percentage
 from ticketmill.functions.tickets import severity_rank, ticket_status
 from ticketmill.functions.timestamps import hour_label
+from ticketmill.operators.lookup import lookup_value
 
 HOURS = "decimal(18,2)"
 
@@ -78,19 +79,19 @@ def sla_performance(gold: DataFrame, targets: DataFrame, by: Sequence[str] = ("s
     The small targets table meets the rows, then one aggregate; tickets without a target count in
     the total and among the unanswered only.
     """
-    limit = targets.groupBy("severity").agg(F.max("target_hours").cast(HOURS).alias("_limit"))
+    limit = F.col("_limit").cast(HOURS)
     hours = F.col("response_latency_hrs").cast(HOURS)
     waiting = F.col("first_response_at").isNull()
-    met = F.count_if(~waiting & (hours <= F.col("_limit")))
+    met = F.count_if(~waiting & (hours <= limit))
     return (
-        gold.join(limit, "severity", "left")
+        lookup_value(gold, "severity", targets, "severity", "target_hours", "_limit")
         .groupBy(*by)
         .agg(
             _count().alias("total_tickets"),
             met.alias("met_target"),
-            F.count_if(~waiting & (hours > F.col("_limit"))).alias("missed_target"),
+            F.count_if(~waiting & (hours > limit)).alias("missed_target"),
             F.count_if(waiting).alias("unanswered"),
-            percentage(met, F.count_if(~waiting & F.col("_limit").isNotNull())).alias("met_percentage"),
+            percentage(met, F.count_if(~waiting & limit.isNotNull())).alias("met_percentage"),
         )
         .orderBy(*by)
     )

@@ -14,7 +14,8 @@ def cluster_options(input_bytes: int, cores: int, partition_bytes: int = 256 * M
     largest shuffle. Partitions start at a size that sorts in memory and are merged by adaptive
     execution where a stage turns out smaller; a shuffle has at least two waves of tasks to even out.
     A join whose measured partitions on one side are small, such as the newest row ids of the dedup,
-    is hashed instead of sorting the full rows of the other side.
+    is hashed instead of sorting the full rows of the other side; the limit is a quarter of a
+    partition, since measured sizes are compressed.
     """
     partitions = max(2 * cores, -(-input_bytes // partition_bytes))
     return {
@@ -24,7 +25,7 @@ def cluster_options(input_bytes: int, cores: int, partition_bytes: int = 256 * M
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(partition_bytes),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(partition_bytes // 4),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.session.timeZone": "UTC",

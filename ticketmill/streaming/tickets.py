@@ -76,7 +76,11 @@ def current_tickets(validated: DataFrame, tie: Sequence[str] = (EXECUTION_ID, RO
 
 
 def first_copies(stream: DataFrame, delay: str = "1 day", key: Sequence[str] = tuple(DUPLICATE_KEY)) -> DataFrame:
-    """Keep-first within the watermark, for consumers that cannot wait; state is bounded by the delay."""
+    """Keep-first within the watermark, for consumers that cannot wait; state is bounded by the delay.
+
+    Every copy travels to the task of its key. Where single tickets are sent in masses, prefer
+    `ingest` with `current_tickets`, which fold copies before they are shuffled.
+    """
     return stream.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(key))
 
 
