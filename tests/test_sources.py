@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ticketmill.fixed_values import NA_TOKENS
 from ticketmill.operators import validation
+from ticketmill.operators.constraints import orphans
 from ticketmill.operators.lookup import flag_members, lookup_stage_ids, lookup_value, reference_mapping
 from ticketmill.plans import shared
 from ticketmill.schemas import EXECUTION_ID, ROW_ID
@@ -82,6 +83,20 @@ def test_one_run_is_replaced_and_read_alone(spark, folder):
     assert "PartitionFilters: [isnotnull(execution_id" in physical_plan(later)
 
 
+def test_a_large_run_is_written_by_several_tasks(spark, folder):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before, path = spark.conf.get(size), folder()
+    run = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 5))
+    spark.conf.set(size, "100k")
+    try:
+        layers.write_runs(
+            spark.range(60_000).select(run.alias(EXECUTION_ID), F.sha2(F.col("id").cast("string"), 256).alias("t")), path
+        )
+    finally:
+        spark.conf.set(size, before)
+    assert len(layers.read_layer(spark, path, "hot").inputFiles()) > 3
+
+
 def test_append_repeats_and_append_new_does_not(spark, folder):
     path = folder()
     df = spark.createDataFrame([("r1", "a"), ("r1", "b")], f"{EXECUTION_ID} string, k string")
@@ -123,6 +138,17 @@ def test_lookups_never_multiply_rows(spark):
     assert reference_mapping(dim, "name", "id").count() == 2
 
 
+def test_keys_of_different_types_still_meet(spark):
+    rows = spark.sql("SELECT CAST(id AS INT) AS k, CAST(id AS DOUBLE) AS d, CAST(-id AS DOUBLE) * 0 AS zero FROM range(3)")
+    dim = spark.range(2).withColumnRenamed("id", "name").withColumn("value", F.col("name") + 10)
+    for key in ("k", "d"):
+        assert sorted((r.k, r.value) for r in lookup_value(rows, key, dim, "name", "value").collect()) == [
+            (0, 10), (1, 11), (2, None),
+        ]
+        assert [r.k for r in orphans(rows, key, dim, "name").collect()] == [2]
+    assert orphans(rows, "zero", rows.select(F.lit(0.0).alias("z")), "z").isEmpty()
+
+
 def test_small_dimensions_are_broadcast_and_large_ones_are_not(spark, bronze, regions):
     plan = physical_plan(validation.check_tickets(bronze([ticket()]), regions, AS_OF))
     assert "BroadcastHashJoin" in plan and "BroadcastNestedLoopJoin" not in plan

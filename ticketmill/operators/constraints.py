@@ -80,5 +80,5 @@ def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) ->
     """
     keys = parent.select(F.col(key).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct()
     return child.where(F.col(foreign_key).isNotNull()).join(
-        keys, same_key(F.col(foreign_key), F.col("_parent_key")), "left_anti"
+        keys, same_key(child, foreign_key, keys, "_parent_key"), "left_anti"
     )

@@ -62,4 +62,4 @@ def drop_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFram
     key = digest(*[F.col(k) for k in keys])
     stored = known.select(key.alias("_known_key")).distinct()
     offered = df.withColumn("_key", key)
-    return offered.join(stored, same_key(F.col("_key"), F.col("_known_key")), "left_anti").drop("_key")
+    return offered.join(stored, same_key(offered, "_key", stored, "_known_key"), "left_anti").drop("_key")

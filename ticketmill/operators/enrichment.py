@@ -115,9 +115,9 @@ def score_by_lexicon(
     entries = reference_mapping(lexicon, "word", "polarity").select(
         F.col("word").alias("_entry"), F.col("polarity").cast(POLARITY).alias("_polarity")
     )
+    tokens = df.select(row_id, F.explode(words(F.col(text))).alias("_word"))
     scores = (
-        df.select(row_id, F.explode(words(F.col(text))).alias("word"))
-        .join(entries, same_key(F.col("word"), F.col("_entry")))
+        tokens.join(entries, same_key(tokens, "_word", entries, "_entry"))
         .groupBy(row_id)
         .agg(F.sum("_polarity").cast(POLARITY_SUM).alias("total"), F.count(F.lit(1)).alias("hits"))
         .select(row_id, _mean(F.struct("total", "hits")).alias(output))

@@ -10,17 +10,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def same_key(left: Column, right: Column) -> Column:
-    """Equality of two join keys, and of their hashes.
+# Types whose equal values have equal hashes.
+HASHED = (T.StringType(), T.BinaryType(), T.DateType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+
+
+def same_key(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> Column:
+    """Equality of two join keys, and of their hashes where both have the same plain type.
 
     The hash changes no result. It gives the join a key list of its own, so Spark shuffles the
     aggregated reference side for the join instead of reusing the exchange below its aggregate. Only
     then are both join inputs plain shuffles, and only those can adaptive execution split when a key
-    is hot.
+    is hot. The names must differ between the two sides.
     """
-    return (F.xxhash64(left) == F.xxhash64(right)) & (left == right)
+    equal = F.col(left_key) == F.col(right_key)
+    kind = left.schema[left_key].dataType
+    if kind not in HASHED or kind != right.schema[right_key].dataType:
+        return equal
+    return (F.xxhash64(left_key) == F.xxhash64(right_key)) & equal
 
 
 def reference_values(reference: DataFrame, column: str) -> DataFrame:
@@ -38,7 +47,7 @@ def flag_members(df: DataFrame, column: str, reference: DataFrame, reference_col
     known = reference_values(reference, reference_column).select(
         F.col(reference_column).alias("_member"), F.lit(True).alias("_found")
     )
-    joined = df.join(known, same_key(F.col(column), F.col("_member")), "left")
+    joined = df.join(known, same_key(df, column, known, "_member"), "left")
     return joined.withColumn(flag, F.coalesce("_found", F.lit(False))).drop("_member", "_found")
 
 
@@ -49,7 +58,7 @@ def lookup_value(
     mapping = reference_mapping(reference, key, value).select(
         F.col(key).alias("_lookup_key"), F.col(value).alias(output or value)
     )
-    return df.join(mapping, same_key(F.col(column), F.col("_lookup_key")), "left").drop("_lookup_key")
+    return df.join(mapping, same_key(df, column, mapping, "_lookup_key"), "left").drop("_lookup_key")
 
 
 def lookup_stage_ids(stages: DataFrame, pipelines: DataFrame, pipeline_code: str, stage_name: str) -> DataFrame:
