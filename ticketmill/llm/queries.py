@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.llm import (
-    fingerprints, language_id, mixing, preferences, quality_classifier, rule_cascade, simhash, toxicity,
+    class_lm, fingerprints, language_id, mixing, packing, preferences, quality_classifier, rule_cascade, simhash, toxicity,
 )
 from ticketmill.llm.tables import documents
 
@@ -23,6 +24,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.predict_quality(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op3_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.pack_documents(documents(spark, sf_dir), vocabulary, window=1024)
+
+
 def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.judge_documents(documents(spark, sf_dir))
 
@@ -55,10 +61,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score_texts(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_fingerprints, op2_quality_classifier, op4_rule_cascade, op5_poisson_mix, op6_language_id, op7_preferences,
-        op8_toxicity, op9_simhash,
+        op1_fingerprints, op2_quality_classifier, op3_retrieval_packing, op4_rule_cascade, op5_poisson_mix,
+        op6_language_id, op7_preferences, op8_toxicity, op9_simhash, op10_class_lm,
     )
 }
