@@ -29,6 +29,7 @@ END = 0
 K1, B = 1.2, 0.75
 QUERY_TERMS = 24
 SHARD_DOCUMENTS = 1024
+LEAST_DOCUMENTS = 256
 SHARD_TOKENS = 1 << 22
 SHARDS_PER_PARTITION = 8
 KEYS_PER_SHARD = 30
@@ -57,15 +58,21 @@ def _place(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(has, least, np.uint64(0))
 
 
+def id_type(vocabulary: str) -> np.dtype:
+    """Little-endian type that holds every id: 16 bits where the vocabulary allows it."""
+    return np.dtype("<u2" if encoder(vocabulary).bpe.n_vocab <= 1 << 16 else "<u4")
+
+
 def token_table(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids, key) of every row, written: little-endian 16- or 32-bit ids with the end id, and the place in the order of shards."""
+    """(doc_id, ids, key) of every row, written: ids as `id_type` with the end id, and the place among shards."""
+    kind = id_type(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column("text")):
                 ids, bounds, hashes, pieces = encoder(vocabulary).encode(chunk)
-                narrow = ids.astype("<u4")
-                packed = [np.append(narrow[a:b], np.uint32(END)).astype("<u4").tobytes() for a, b in zip(bounds, bounds[1:])]
+                ids = ids.astype(kind)
+                packed = [np.append(ids[a:b], kind.type(END)).tobytes() for a, b in zip(bounds, bounds[1:])]
                 own = batch.column("id").slice(chunk.first, chunk.last - chunk.first)
                 key = (_place(hashes, pieces) >> np.uint64(1)).astype(np.int64)
                 yield pa.RecordBatch.from_pydict({"doc_id": own, "ids": pa.array(packed, pa.binary()), "key": pa.array(key)})
@@ -77,7 +84,7 @@ def token_table(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", tex
     return stored(made.withColumn("key", spread), "tokens")
 
 
-def term_statistics(tokens: DataFrame, rows: int = 20_000) -> TermStatistics:
+def term_statistics(tokens: DataFrame, kind: np.dtype, rows: int = 20_000) -> TermStatistics:
     """Document frequencies over about `rows` sampled documents: the documented bound of the sample."""
     n = tokens.count()
 
@@ -85,12 +92,12 @@ def term_statistics(tokens: DataFrame, rows: int = 20_000) -> TermStatistics:
         seen, documents, length = np.zeros(1 << 16, np.int64), 0, 0
         for batch in batches:
             for packed in batch.column("ids"):
-                ids = np.unique(np.frombuffer(packed.as_buffer(), "<u4"))
+                ids = np.unique(np.frombuffer(packed.as_buffer(), kind))
                 if len(ids) and ids[-1] >= len(seen):
                     seen = np.append(seen, np.zeros(int(ids[-1]) + 1, np.int64))
                 seen[ids] += 1
                 documents += 1
-                length += len(packed.as_buffer()) // 4
+                length += len(packed.as_buffer()) // kind.itemsize
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"term": np.append(at, [-1, -2]), "n": np.append(seen[at], [documents, length])})
 
@@ -197,12 +204,12 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = 1024) -> Data
     its only id is the end. Repeated rows and null ids are packed as rows of their own; columns beside
     doc_id and text are not read.
     """
-    tokens = token_table(docs, vocabulary)
+    tokens, kind = token_table(docs, vocabulary), id_type(vocabulary)
     spark = docs.sparkSession
-    statistics = spark.sparkContext.broadcast(term_statistics(tokens))
+    statistics = spark.sparkContext.broadcast(term_statistics(tokens, kind))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = partitions * SHARDS_PER_PARTITION
     n = tokens.count()
+    shards = max(1, min(partitions * SHARDS_PER_PARTITION, n // LEAST_DOCUMENTS))
     some = sorted(r.key for r in tokens.select("key").sample(min(1.0, KEYS_PER_SHARD * shards / max(n, 1)), SEED).collect())
     cuts = sorted(set(some[len(some) // shards :: max(1, len(some) // shards)]))
 
@@ -215,7 +222,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = 1024) -> Data
         for filled in pack_shard(texts, statistics.value, window):
             offset = 0
             for k, start, length in filled:
-                crc = zlib.crc32(texts[k][start : start + length].tobytes())
+                crc = zlib.crc32(texts[k][start : start + length].astype("<u4").tobytes())
                 rows.append((ids[k], start, length, crc, len(texts[k]), (shard << 32) + number, offset))
                 offset += length
             number += 1
@@ -235,7 +242,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, window: int = 1024) -> Data
                 if own != shard:
                     shard, number = own, 0
                 ids.append(doc_id)
-                texts.append(np.frombuffer(packed.as_buffer(), "<u4").copy())
+                texts.append(np.frombuffer(packed.as_buffer(), kind).copy())
                 size += len(texts[-1])
         if texts:
             yield emit(shard, number, ids, texts)[1]

@@ -20,8 +20,8 @@ from ticketmill.llm.words import Chunk, chunks, code_points, span_hashes
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 OTHER, LETTER, NUMBER, BLANK = range(4)
-MOST_CACHED = 1 << 19
-SLOTS = 1 << 20
+MOST_CACHED = 1 << 18
+SLOTS = 1 << 19
 
 
 @lru_cache(maxsize=1)
