@@ -138,10 +138,15 @@ def quality_score(docs: DataFrame, model: QualityModel, text: str | Column = "te
     return score(F.col(text) if isinstance(text, str) else text)
 
 
-def labels_of(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """text and label of the documents that have one; of several labels of an id, the smallest."""
+def labels_of(docs: DataFrame, labels: DataFrame, label: str, rows: int = 20_000) -> DataFrame:
+    """text and label of documents that have one; of several labels of an id, the smallest.
+
+    About `rows` ids of each label, at most, take part: a documented bound. Their list is broadcast, so
+    the texts stay where they are.
+    """
     least = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
-    return docs.select("doc_id", "text").join(least, "doc_id").select("text", "label")
+    chosen, _ = sample_of_each(least.where("label IN (0, 1)"), "label", rows, "label-sample")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
 
 
 def predict_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = 0.7) -> DataFrame:

@@ -155,7 +155,8 @@ def near_components(fingerprints: DataFrame, distance: int = 4) -> DataFrame:
         keys.groupBy(bucket).agg(F.count("*").alias("members"), F.min("fp").alias("pivot")).where("members > 1"),
         "buckets",
     )
-    members = stored(keys.join(shared, bucket).select("fp", *bucket, "pivot"), "members")
+    # Merged at every size: the list of buckets grows with the data, and so the plan is one.
+    members = stored(keys.join(shared.hint("merge"), bucket).select("fp", *bucket, "pivot"), "members")
     discard(shared)
     linked = _linked(F.col("fp"), F.col("pivot"), F.col("pattern"), distance)
     stars = stored(members.where(linked & F.expr("fp <> pivot")).select("fp", "pivot").distinct(), "stars")
@@ -195,7 +196,8 @@ def simhash_groups(
     distinct = stored(own.groupBy("fp").agg(F.min("id").alias("least")), "fingerprints")
     roots = stored(near_components(distinct.select("fp"), distance), "roots")
     placed = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    joined = placed.where("root <> fp").unionByName(placed.join(roots.select(F.col("root").alias("fp")).distinct(), "fp", "left_semi").where("root = fp"))
+    heads = placed.join(roots.select(F.col("root").alias("fp")).distinct(), "fp", "left_semi").where("root = fp")
+    joined = placed.where("root <> fp").unionByName(heads)
     named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     grouped = joined.select("fp", "root").join(named, "root").select("fp", "component_id")
     alone = distinct.join(grouped.select("fp"), "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
@@ -212,7 +214,7 @@ def one_of_each_group(docs: DataFrame, shingle_words: int = 4, distance: int = 4
     kept = stored(
         groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies")), "kept"
     )
-    rows = docs.join(kept.where("copies = 1").select("doc_id"), "doc_id", "left_semi")
+    rows = docs.join(kept.where("copies = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     again = docs.join(kept.where("copies > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     nameless = groups.where("component_id IS NULL").select("fp").distinct()
     loose = docs.where("doc_id IS NULL").withColumn("__fp", simhash("text", shingle_words))
