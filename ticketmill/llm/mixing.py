@@ -80,7 +80,7 @@ def mix_sources(
 ) -> DataFrame:
     """Every copy of every document, shuffled: the columns of `docs`, copy (from 1) and shuffle_key.
 
-    A null source is a source of its own, a null text has no characters. Rows with the same id get the
+    Columns of `docs` with the last two names are replaced. A null source is a source of its own, a null text has no characters. Rows with the same id get the
     same count. An empty table gives an empty one.
     """
     rates = target_rates(docs, weights, power).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
@@ -89,5 +89,5 @@ def mix_sources(
     copies = counted.where("__count > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__count"))))
     keyed = copies.withColumn("shuffle_key", _hash(F.lit("order"), F.lit(str(seed)), F.col("__row"), F.col("copy").cast("string"), digits=15))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = keyed.select(*docs.columns, "copy", "shuffle_key")
+    out = keyed.select(*[c for c in docs.columns if c not in ("copy", "shuffle_key")], "copy", "shuffle_key")
     return out.repartition(partitions, "shuffle_key").sortWithinPartitions("shuffle_key")

@@ -182,6 +182,22 @@ def near_components(fingerprints: DataFrame, distance: int = 4) -> DataFrame:
     return components(links).select(F.col("node").alias("fp"), "root")
 
 
+def _rooted(docs: DataFrame, id_column: str, text: str, shingle_words: int, distance: int) -> DataFrame:
+    """(id, fp, root, component_id) of every row; root is the smallest fingerprint of the component."""
+    own = stored(docs.select(F.col(id_column).alias("id"), simhash(text, shingle_words).alias("fp")), "simhash")
+    distinct = stored(own.groupBy("fp").agg(F.min("id").alias("least")), "fingerprints")
+    roots = stored(near_components(distinct.select("fp"), distance), "roots")
+    placed = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    heads = placed.join(roots.select(F.col("root").alias("fp")).distinct(), "fp", "left_semi").where("root = fp")
+    joined = placed.where("root <> fp").unionByName(heads)
+    named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    grouped = joined.select("fp", "root").join(named, "root").select("fp", "root", "component_id")
+    alone = distinct.join(grouped.select("fp"), "fp", "left_anti").select(
+        "fp", F.col("fp").alias("root"), F.col("least").alias("component_id")
+    )
+    return own.join(grouped.unionByName(alone), "fp").select("id", "fp", "root", "component_id")
+
+
 def simhash_groups(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", shingle_words: int = 4, distance: int = 4
 ) -> DataFrame:
@@ -192,36 +208,28 @@ def simhash_groups(
     component but cannot name it; a component without any id has a null component_id. Other columns
     of `docs` are not read, so their names may clash with anything. An empty table gives an empty one.
     """
-    own = stored(docs.select(F.col(id_column).alias("id"), simhash(text, shingle_words).alias("fp")), "simhash")
-    distinct = stored(own.groupBy("fp").agg(F.min("id").alias("least")), "fingerprints")
-    roots = stored(near_components(distinct.select("fp"), distance), "roots")
-    placed = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    heads = placed.join(roots.select(F.col("root").alias("fp")).distinct(), "fp", "left_semi").where("root = fp")
-    joined = placed.where("root <> fp").unionByName(heads)
-    named = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    grouped = joined.select("fp", "root").join(named, "root").select("fp", "component_id")
-    alone = distinct.join(grouped.select("fp"), "fp", "left_anti").select("fp", F.col("least").alias("component_id"))
-    return own.join(grouped.unionByName(alone), "fp").select(F.col("id").alias(id_column), "fp", "component_id")
+    found = _rooted(docs, id_column, text, shingle_words, distance)
+    return found.select(F.col("id").alias(id_column), "fp", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, shingle_words: int = 4, distance: int = 4) -> DataFrame:
     """The rows of `docs` that stand for their group of near duplicates: one for each component.
 
-    The row with the smallest doc_id stays; of several rows with that id, any one. A group without ids
-    keeps one row. All columns of `docs` are kept.
+    The row with the smallest doc_id stays; of several such rows in a component, any one. A component
+    without ids keeps one row. All columns of `docs` are kept.
     """
-    groups = simhash_groups(docs, "doc_id", "text", shingle_words, distance)
-    kept = stored(
-        groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies")), "kept"
-    )
-    rows = docs.join(kept.where("copies = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
-    again = docs.join(kept.where("copies > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = groups.where("component_id IS NULL").select("fp").distinct()
-    loose = docs.where("doc_id IS NULL").withColumn("__fp", simhash("text", shingle_words))
-    roots = near_components(nameless, distance) if nameless.head(1) else None
-    if roots is None:
-        return rows.unionByName(again)
-    loose = loose.join(nameless, loose["__fp"] == nameless["fp"], "left_semi")
-    loose = loose.join(roots.withColumnRenamed("fp", "__node"), F.col("__fp") == F.col("__node"), "left")
-    loose = loose.withColumn("__root", F.coalesce("root", "__fp")).dropDuplicates(["__root"])
-    return rows.unionByName(again).unionByName(loose.select(docs.columns))
+    groups = stored(_rooted(docs, "doc_id", "text", shingle_words, distance), "groups")
+    stands = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    by_id = groups.where("id IS NOT NULL").groupBy("id").agg(F.count("*").alias("rows"), F.max(stands).alias("stands"))
+    kept = stored(by_id.where("stands").select(F.col("id").alias("doc_id"), "rows"), "kept")
+    rows = docs.join(kept.where("rows = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
+
+    # Ids of several rows, and rows without id, are told apart by their fingerprints.
+    several = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    heads = groups.where(stands).join(kept.where("rows > 1").select(F.col("doc_id").alias("id")), "id", "left_semi")
+    heads = heads.unionByName(groups.where("component_id IS NULL")).distinct().select(
+        F.col("id").alias("__id"), F.col("fp").alias("__own"), F.col("root").alias("__top")
+    )
+    several = several.withColumn("__fp", simhash("text", shingle_words))
+    again = several.join(heads, several["doc_id"].eqNullSafe(heads["__id"]) & (F.col("__fp") == F.col("__own")))
+    return rows.unionByName(again.dropDuplicates(["__id", "__top"]).select(*docs.columns))
