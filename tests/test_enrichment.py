@@ -89,10 +89,18 @@ def test_both_lexicon_forms_agree_with_brute_force(spark):
     assert [r.s for r in joined] == expected
 
 
-def test_inline_lexicon_is_bounded(monkeypatch):
-    monkeypatch.setattr(enrichment, "LARGEST_INLINE_LEXICON", 2)
-    with pytest.raises(ValueError, match="score_by_lexicon"):
-        lexicon_polarity(F.lit("x"), {"a": 1.0, "b": 1.0, "c": 1.0})
+def test_inline_lexicon_of_any_size_scores_as_the_table(spark):
+    lexicon = {f"Wort{i}": (i % 21 - 10) / 10 for i in range(50_000)} | {"überlastet": -1.0, "ПЛОХО": 0.5, "big": 5000.0}
+    texts = ["Wort7 wort49999, x", "Überlastet!", "плохо überlastet", "BIG", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    inline = df.select("id", enrichment.lexicon_polarity(F.col("text"), lexicon).alias("sentiment_score"))
+    table = spark.createDataFrame(list(lexicon.items()), "word string, polarity double")
+    by_table = enrichment.score_by_lexicon(df, "text", "id", table).select("id", "sentiment_score")
+    assert sorted(map(tuple, inline.collect())) == sorted(map(tuple, by_table.collect()))
+    assert [r.sentiment_score for r in inline.orderBy("id").collect()][1:4] == [-1.0, -0.3, 5000.0]
+    for bad in (float("nan"), float("inf"), 1e7):
+        with pytest.raises(ValueError, match="odd"):
+            enrichment.lexicon_polarity(F.col("text"), {"odd": bad})
 
 
 def test_empty_lexicon_and_null_text(spark):

@@ -181,3 +181,21 @@ def test_windows_line_ends_and_byte_order_mark(spark, tmp_path):
     for multi_line in (True, False):
         row = layers.read_bronze_csv(spark, str(tmp_path), multi_line=multi_line).first()
         assert (row.email_address, row.customer_text, row.first_response_at) == ("a@b.c", "x, y", None)
+
+
+def test_a_failing_rerun_leaves_the_stored_run(spark, folder):
+    path = f"{folder}/atomic"
+    df = spark.createDataFrame([(1, "r:1"), (2, "r:1")], "n int, execution_id string")
+    layers.write_run(df, path, "r:1")
+    with pytest.raises(Exception):
+        layers.write_run(df.withColumn("n", F.raise_error(F.lit("no")).cast("int")), path, "r:1")
+    assert sorted(r.n for r in layers.read_layer(spark, path, "r:1").collect()) == [1, 2]
+    layers.write_run(df.limit(0), path, "r:1")
+    assert layers.read_layer(spark, path, "r:1", df.schema).count() == 0
+
+
+def test_append_new_begins_a_table(spark, folder):
+    path, rows = f"{folder}/fresh", spark.createDataFrame([("r1", "a"), ("r1", "a"), ("r1", "b")], "execution_id string, k string")
+    for _ in range(2):
+        layers.append_new(rows, path, ["k"])
+    assert sorted(r.k for r in layers.read_layer(spark, path).collect()) == ["a", "b"]

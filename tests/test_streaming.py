@@ -79,7 +79,7 @@ def test_late_rows_count_without_a_watermark(spark, tmp_path):
 
     def trend():
         stream = streams.typed_stream(streams.read_stream(spark, source, files_per_batch=1))
-        return {r.created_date: r.ticket_count for r in streams.run_hourly_counts(stream, root).collect()}
+        return {r.created_date: r.ticket_count for r in streams.run_hourly_trend(stream, root).collect()}
 
     drop_file(source, "a", [ticket(), ticket(created_at="2026-06-09 11:00:00")])
     assert trend() == {"2026-06-01 10:00": 1, "2026-06-09 11:00": 1}
@@ -88,12 +88,20 @@ def test_late_rows_count_without_a_watermark(spark, tmp_path):
 
 
 def test_first_copies(spark, tmp_path):
-    source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    drop_file(source, "a", [ticket(), ticket(created_at="2026-06-01 12:00:00")])
-    drop_file(source, "b", [ticket(created_at="2026-06-01 13:00:00"), ticket(customer_text="other")])
-    stream = streams.first_copies(streams.typed_stream(streams.read_stream(spark, source, files_per_batch=1)))
-    stream.drop(streams.EVENT_TIME).writeStream.format("parquet").option("path", out).option(
-        "checkpointLocation", f"{out}_checkpoint"
-    ).trigger(availableNow=True).start().awaitTermination()
-    kept = spark.read.parquet(out).groupBy("customer_text").agg(F.count(F.lit(1)).alias("n")).collect()
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    drop_file(source, "a", [ticket(), ticket(created_at="2099-06-01 12:00:00")])
+    drop_file(source, "b", [ticket(created_at="2020-06-01 13:00:00"), ticket(customer_text="other")])
+    stream = streams.typed_stream(streams.read_stream(spark, source, files_per_batch=1))
+    kept = streams.run_first_copies(stream, root).groupBy("customer_text").agg(F.count(F.lit(1)).alias("n")).collect()
     assert {r.customer_text: r.n for r in kept} == {"How do I reset it?": 1, "other": 1}
+    within = streams.first_copies(streams.typed_stream(streams.read_stream(spark, source), AS_OF), "1 day")
+    assert within.isStreaming
+
+
+def test_streams_into_one_root_keep_all_rows(spark, regions, tmp_path):
+    root = str(tmp_path / "lake")
+    for name in ("one", "two"):
+        drop_file(str(tmp_path / name), name, [ticket(), ticket(email_address=f"{name}@x.y")])
+        stream = streams.read_stream(spark, str(tmp_path / name), multi_line=False)
+        streams.ingest(stream, regions, AS_OF, root, checkpoint=str(tmp_path / f"{name}_checkpoint")).awaitTermination()
+    assert batch.read_validated(spark, root).count() == 4

@@ -39,10 +39,6 @@ def null_missing(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     return df.withColumns({n: F.when(~F.col(n).isin(list(tokens)), F.col(n)) for n in names})
 
 
-def truncate(text: Column, length: int) -> Column:
-    return F.substring(text, 1, length)
-
-
 def digest(*columns: Column) -> Column:
     """32-byte SHA-256 of several text columns, for grouping on long keys.
 

@@ -12,9 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketmill.fixed_values import ERROR_MESSAGE_LENGTH, FAILED, RUN_STATUSES, STARTED, SUCCESS
+from ticketmill.fixed_values import FAILED, RUN_STATUSES, STARTED, SUCCESS
 from ticketmill.functions.numeric import percentage, round_half_up
-from ticketmill.functions.text import truncate
 from ticketmill.functions.timestamps import day_label, duration_seconds
 from ticketmill.operators.dedup import keep_latest
 from ticketmill.schemas import ENRICHMENT_METRICS, RUN_EVENTS, VALIDATION_METRICS
@@ -45,8 +44,8 @@ def success_events(runs: DataFrame, time: Column, metrics: Column) -> DataFrame:
 
 
 def failure_events(runs: DataFrame, time: Column, error: Column) -> DataFrame:
-    """Runs that end badly; the error text is cut to the stored length."""
-    return _events(runs, FAILED, time, error=truncate(error, ERROR_MESSAGE_LENGTH))
+    """Runs that end badly, with the whole error text; whether it is too long is for the check rules to say."""
+    return _events(runs, FAILED, time, error=error)
 
 
 def metrics_json(*columns: Column | str) -> Column:

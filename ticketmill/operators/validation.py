@@ -168,7 +168,13 @@ def _copies(checked: DataFrame, *keep: str) -> DataFrame:
 
 
 def validation_summary(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Rows read, failed, duplicate, valid and quarantined, with the pass rate in percent."""
+    """Rows read, failed, duplicate, valid and quarantined, with the pass rate in percent.
+
+    By columns other than the run id, every row is judged first: a duplicate counts where its own row
+    stands, and the copy that is kept where the newest one does.
+    """
+    if not set(by) <= set(_scope(checked)):
+        return _summary_by_row(checked, by)
     is_passed, rows = F.col("_passed"), F.col("_rows")
     counts = _copies(checked).groupBy(*by).agg(
         F.coalesce(F.sum(rows), F.lit(0)).alias("rows_read"),
@@ -184,6 +190,22 @@ def validation_summary(checked: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _summary_by_row(checked: DataFrame, by: Sequence[str]) -> DataFrame:
+    valid, duplicate = passed(), F.col(REASON) == DUPLICATE_REASON
+    counts = judge_tickets(checked).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(~valid & ~duplicate).alias("rows_failed"),
+        F.count_if(duplicate).alias("rows_duplicate"),
+        F.count_if(valid).alias("rows_valid"),
+    )
+    return counts.withColumns(
+        {
+            "rows_quarantined": F.col("rows_failed") + F.col("rows_duplicate"),
+            "validation_pass_rate": percentage(F.col("rows_valid"), F.col("rows_read")),
+        }
+    )
+
+
 def failure_reason_counts(checked: DataFrame) -> DataFrame:
     """How often each full reason occurs, duplicates included, most frequent first."""
     is_passed = F.col("_passed")

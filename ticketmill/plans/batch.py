@@ -181,7 +181,8 @@ def enrich_run(
 def load_run(
     spark: SparkSession, root: str, run: str, ingested_at: datetime | str | Column | None = None
 ) -> None:
-    """Fact rows of one run, replacing an earlier load of it. Keys continue after the last load logged.
+    """Fact rows of one run, replacing an earlier load of it. Keys continue after the largest one stored by
+    the other runs, whether those loads were logged or not; one load at a time may run.
 
     A row that breaks a constraint of the fact table fails the load before anything is written.
     """
@@ -194,8 +195,11 @@ def load_run(
             F.localtimestamp() if ingested_at is None else ingested_at,
         )
         require_rules(fact, fact_rules())
-        last = _run_log(spark, root).agg(F.max(F.get_json_object("metrics", "$.last_ticket_id").cast("bigint")))
-        keyed = load.with_generated_key(fact, "ticket_id", start_after=last.first()[0] or 0)
+        last = 0
+        if layers.exists(spark, f"{root}/{FACT_TABLE}"):
+            others = layers.read_layer(spark, f"{root}/{FACT_TABLE}", schema=schemas.FACT).where(F.col(EXECUTION_ID) != run)
+            last = others.agg(F.max("ticket_id")).first()[0] or 0
+        keyed = load.with_generated_key(fact, "ticket_id", start_after=last)
         layers.write_run(keyed, f"{root}/{FACT_TABLE}", run)
         return layers.read_layer(spark, f"{root}/{FACT_TABLE}", run, schemas.FACT).agg(
             F.count(F.lit(1)).alias("rows_loaded"),

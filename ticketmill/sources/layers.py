@@ -7,9 +7,10 @@ partition, and rerunning it replaces that partition alone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +21,7 @@ from ticketmill.operators.validation import require_columns
 from ticketmill.schemas import EXECUTION_ID, ROW_ID
 
 RUN_IN_FILE_NAME = r"(\d{8}_\d{6})"
+ESCAPED_IN_PATHS = r"""[\x01-\x1f"#%'*/:=?\\{\[\]^\x7f]"""
 
 
 def _csv_options(multi_line: bool) -> dict[str, object]:
@@ -69,14 +71,26 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def run_path(path: str, run: str) -> str:
-    return f"{path}/{EXECUTION_ID}={run}"
+    """The folder of a run, its id escaped as Spark escapes partition values."""
+    escaped = re.sub(ESCAPED_IN_PATHS, lambda c: f"%{ord(c[0]):02X}", run)
+    return f"{path}/{EXECUTION_ID}={escaped}"
 
 
 def write_run(df: DataFrame, path: str, run: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace one run's partition, also when the run has no rows left. Safe to repeat."""
-    df.drop(EXECUTION_ID).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        *partition_by
-    ).parquet(run_path(path, run))
+    """Replace one run's partition, also when the run has no rows left. Safe to repeat.
+
+    The new files take the place of the old ones when the job commits, so a write that fails leaves
+    the stored run readable. Only a run without rows is overwritten in place.
+    """
+    rows = Observation()
+    own = df.drop(EXECUTION_ID).observe(rows, F.count(F.lit(1)).alias("rows")).withColumn(EXECUTION_ID, F.lit(run))
+    own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        EXECUTION_ID, *partition_by
+    ).parquet(path)
+    if not rows.get["rows"]:
+        df.drop(EXECUTION_ID).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            *partition_by
+        ).parquet(run_path(path, run))
 
 
 def write_runs(df: DataFrame, path: str) -> None:
@@ -96,8 +110,17 @@ def append_runs(df: DataFrame, path: str) -> None:
 
 
 def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Append the rows whose key the stored table does not hold yet."""
-    append_runs(drop_known(df, read_layer(df.sparkSession, path), keys), path)
+    """Append the rows whose key the stored table does not hold yet, one for each key.
+
+    The first load finds no table and stores all keys.
+    """
+    offered = df.dropDuplicates(list(keys))
+    append_runs(drop_known(offered, read_layer(df.sparkSession, path), keys) if exists(df.sparkSession, path) else offered, path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
 def read_layer(

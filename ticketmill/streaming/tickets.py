@@ -7,6 +7,7 @@ leaves the same tables.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
@@ -19,8 +20,8 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from ticketmill.fixed_values import DUPLICATE_KEY, NA_TOKENS
 from ticketmill.functions.text import null_missing
-from ticketmill.functions.timestamps import from_event_time, hour_label, parse_timestamp, to_event_time
-from ticketmill.operators.dedup import keep_latest
+from ticketmill.functions.timestamps import hour_label, ntz, parse_timestamp, to_event_time
+from ticketmill.operators.dedup import drop_known, keep_latest
 from ticketmill.plans.batch import judge, land
 from ticketmill.schemas import BRONZE, EXECUTION_ID, ROW_ID
 from ticketmill.sources import layers
@@ -35,18 +36,24 @@ def read_stream(
     format: str = "csv",
     files_per_batch: int | None = None,
     na_tokens: Sequence[str] = NA_TOKENS,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """New raw files below a folder; CSV columns must come in the order of the schema."""
+    """New raw files below a folder; CSV columns must come in the order of the schema.
+
+    `multi_line` allows line breaks inside quoted text but makes a file one task.
+    """
     reader = spark.readStream.schema(schema).format(format)
     if format == "csv":
-        reader = reader.options(header=True, quote='"', escape='"', multiLine=True, enforceSchema=False)
+        reader = reader.options(header=True, quote='"', escape='"', multiLine=multi_line, enforceSchema=False)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return null_missing(reader.load(path), na_tokens)
 
 
-def run_of_batch(batch: int) -> str:
-    return f"batch_{batch:010d}"
+def run_of_batch(batch: int, checkpoint: str) -> str:
+    """Run id of a batch: its number, and which stream it belongs to. A stream is known by its checkpoint,
+    so streams into one root, or a stream that begins anew, never replace each other's batches."""
+    return f"b{hashlib.sha256(checkpoint.encode()).hexdigest()[:8]}_{batch:010d}"
 
 
 def ingest(
@@ -54,13 +61,15 @@ def ingest(
 ) -> StreamingQuery:
     """Check every new batch and store it below `root`. `as_of` may be F.localtimestamp()."""
 
+    checkpoint = checkpoint or f"{root}/_checkpoint"
+
     def handle(batch: DataFrame, number: int) -> None:
-        run = run_of_batch(number)
+        run = run_of_batch(number, checkpoint)
         judge(land(batch, root, run), regions, as_of, root, run)
 
     return (
         stream.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint or f"{root}/_checkpoint")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
@@ -75,54 +84,64 @@ def current_tickets(validated: DataFrame, tie: Sequence[str] = (EXECUTION_ID, RO
     return keep_latest(validated, DUPLICATE_KEY, newest="created_at", tie=tie)
 
 
-def first_copies(stream: DataFrame, delay: str = "1 day", key: Sequence[str] = tuple(DUPLICATE_KEY)) -> DataFrame:
+def first_copies(stream: DataFrame, delay: str, key: Sequence[str] = tuple(DUPLICATE_KEY)) -> DataFrame:
     """Keep-first within the watermark, for consumers that cannot wait; state is bounded by the delay.
 
-    Every copy travels to the task of its key. Where single tickets are sent in masses, prefer
-    `ingest` with `current_tickets`, which fold copies before they are shuffled.
+    Rows later than `delay` are dropped by the watermark; `run_first_copies` drops none. Every copy
+    travels to the task of its key. Give `typed_stream` an `as_of`, or one row from the future makes all
+    others late.
     """
     return stream.withWatermark(EVENT_TIME, delay).dropDuplicatesWithinWatermark(list(key))
 
 
-def typed_stream(stream: DataFrame) -> DataFrame:
-    """Rows with a readable creation time, typed, and its event time for the operators below."""
-    typed = stream.withColumn("created_at", parse_timestamp(F.col("created_at")))
-    return typed.where(F.col("created_at").isNotNull()).withColumn(EVENT_TIME, to_event_time(F.col("created_at")))
+def run_first_copies(stream: DataFrame, root: str, key: Sequence[str] = tuple(DUPLICATE_KEY)) -> DataFrame:
+    """Store the first copy of every key over all batches, however late it comes, and return them.
 
+    A batch is reduced to one row for each key and stores those that no other batch holds.
+    """
+    path = f"{root}/first"
 
-def hourly_trend(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Tickets per hour of creation, as an event-time window.
+    def handle(batch: DataFrame, number: int) -> None:
+        run, offered = run_of_batch(number, f"{root}/_checkpoint"), batch.dropDuplicates(list(key)).drop(EVENT_TIME)
+        if layers.exists(batch.sparkSession, path):
+            stored = layers.read_layer(batch.sparkSession, path).where(F.col(EXECUTION_ID) != run)
+            offered = drop_known(offered, stored, key)
+        layers.write_run(offered, path, run)
 
-    State is bounded by the delay, and rows that come later than it are not counted any more; use
-    `run_hourly_counts` where every row has to count.
-    """
-    hour = F.window(EVENT_TIME, "1 hour")
-    return stream.withWatermark(EVENT_TIME, delay).groupBy(hour).agg(F.count(F.lit(1)).alias("ticket_count"))
+    _run(stream.writeStream, handle, root)
+    return layers.read_layer(stream.sparkSession, path).drop(EXECUTION_ID)
 
 
-def run_hourly_trend(stream: DataFrame, root: str, delay: str = "1 day") -> DataFrame:
-    """Fold all new rows into the windows and return the trend.
+def typed_stream(stream: DataFrame, as_of: datetime | str | Column | None = None) -> DataFrame:
+    """Rows with a readable creation time, typed, and its event time for the operators below.
 
-    Each batch stores the hours it changed; counts only grow, so the largest count of an hour is
-    the current one.
+    With `as_of`, rows created later are left out, which keeps a watermark from running ahead.
     """
+    typed = stream.withColumn("created_at", parse_timestamp(F.col("created_at")))
+    typed = typed.where(F.col("created_at").isNotNull())
+    if as_of is not None:
+        typed = typed.where(F.col("created_at") <= ntz(as_of))
+    return typed.withColumn(EVENT_TIME, to_event_time(F.col("created_at")))
+
 
-    def handle(changed: DataFrame, number: int) -> None:
-        label = hour_label(from_event_time(F.col("window.start"))).alias("created_date")
-        layers.write_run(changed.select(label, "ticket_count"), f"{root}/trend", run_of_batch(number))
+def hourly_trend(stream: DataFrame, delay: str) -> DataFrame:
+    """Tickets per hour of creation, as an event-time window, for consumers that need it live.
 
-    _run(hourly_trend(stream, delay).writeStream.outputMode("update"), handle, root)
-    return _stored_trend(stream.sparkSession, root).agg(F.max("ticket_count").alias("ticket_count"))
+    State is bounded by the delay, and rows that come later than it are not counted any more; use
+    `run_hourly_trend` where every row has to count.
+    """
+    hour = F.window(EVENT_TIME, "1 hour")
+    return stream.withWatermark(EVENT_TIME, delay).groupBy(hour).agg(F.count(F.lit(1)).alias("ticket_count"))
 
 
-def run_hourly_counts(stream: DataFrame, root: str) -> DataFrame:
+def run_hourly_trend(stream: DataFrame, root: str) -> DataFrame:
     """Count all new rows and return the trend. Each batch stores its own counts per hour and the
     trend is their sum: there is no state, and no row is too late."""
 
     def handle(batch: DataFrame, number: int) -> None:
         hour = hour_label(F.col("created_at")).alias("created_date")
         counts = batch.groupBy(hour).agg(F.count(F.lit(1)).alias("ticket_count"))
-        layers.write_run(counts, f"{root}/trend", run_of_batch(number))
+        layers.write_run(counts, f"{root}/trend", run_of_batch(number, f"{root}/_checkpoint"))
 
     _run(stream.writeStream, handle, root)
     return _stored_trend(stream.sparkSession, root).agg(F.sum("ticket_count").alias("ticket_count"))

@@ -83,7 +83,7 @@ CATEGORIES = "('Technical', 'Billing', 'Account', 'Feedback', 'How-To Question',
 
 def polarity(text: str, lexicon: dict[str, float]) -> str:
     """Mean polarity of the listed words of a text, with exact sums."""
-    words = f"regexp_split_to_array(lower({text}), '[^a-z0-9'']+')"
+    words = f"regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}'']+')"
     cases = " ".join(f"WHEN '{word}' THEN {score}" for word, score in lexicon.items())
     hits = f"list_filter(list_transform({words}, lambda w: CAST(CASE w {cases} END AS DECIMAL(9,6))), lambda s: s IS NOT NULL)"
     return (
@@ -356,10 +356,10 @@ WHERE customer_text IS NOT NULL""",
     "lexicon_sentiment_documents": f"SELECT doc_id, {polarity('text', DOCUMENT_LEXICON)} AS sentiment_score FROM documents",
     "lexicon_table_sentiment": """WITH lexicon AS (
   SELECT DISTINCT word, CAST((length(word) % 21 - 10) / 10.0 AS DECIMAL(9,6)) AS polarity
-  FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z0-9'']+')) AS word FROM benchmark) WHERE word <> ''),
+  FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}'']+')) AS word FROM benchmark) WHERE word <> ''),
 scores AS (
   SELECT doc_id, CAST(round(CAST(CAST(sum(polarity) AS DOUBLE) / count(*) AS DECIMAL(18,6)), 1) AS DOUBLE) AS score
-  FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9'']+')) AS word FROM documents)
+  FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}'']+')) AS word FROM documents)
   JOIN lexicon USING (word) GROUP BY 1)
 SELECT doc_id, coalesce(score, 0) AS sentiment_score FROM documents LEFT JOIN scores USING (doc_id)""",
     "enriched_tickets": with_ctes(SILVER, "SELECT * FROM silver"),

@@ -214,7 +214,7 @@ def lexicon_sentiment_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lexicon_table_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lexicon as a table: every word of the benchmark texts, scored by its length."""
     words = table(spark, sf_dir, "benchmark").select(
-        F.explode(F.split(F.lower("text"), "[^a-z0-9']+")).alias("word")
+        F.explode(F.split(F.lower("text"), "[^\\p{L}\\p{N}']+")).alias("word")
     )
     polarity = ((F.length("word") % 21 - 10) / 10).cast("decimal(9,6)")
     lexicon = words.where(F.col("word") != "").distinct().withColumn("polarity", polarity)
@@ -427,12 +427,13 @@ def append_known_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_hourly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streams.run_hourly_trend(streams.typed_stream(_event_stream(spark, sf_dir)), new_folder(spark, "trend"))
+    return streams.run_hourly_trend(streams.typed_stream(_event_stream(spark, sf_dir, files_per_batch=2)), new_folder(spark, "trend"))
 
 
 def stream_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = streams.typed_stream(_event_stream(spark, sf_dir, files=3))
-    return streams.run_hourly_counts(stream, new_folder(spark, "trend"))
+    """The same with several files in each batch."""
+    stream = streams.typed_stream(_event_stream(spark, sf_dir, files=12, files_per_batch=5))
+    return streams.run_hourly_trend(stream, new_folder(spark, "trend"))
 
 
 def stream_ingest_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -447,32 +448,28 @@ def stream_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tickets arriving in several micro-batches; the newest copy over all of them stays."""
-    root = _ingested(spark, sf_dir, files=4)
+    root = _ingested(spark, sf_dir, files_per_batch=2)
     return streams.current_tickets(batch.read_validated(spark, root)).drop(EXECUTION_ID)
 
 
 def stream_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per ticket key within the watermark; which copy comes first is up to the stream."""
-    path = new_folder(spark, "first")
-    kept = streams.first_copies(streams.typed_stream(_event_stream(spark, sf_dir)))
-    kept.select("email_address", "customer_text").writeStream.format("parquet").option("path", path).option(
-        "checkpointLocation", new_folder(spark, "checkpoint")
-    ).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(path)
+    """One row per ticket key over all batches; which copy comes first is up to the stream."""
+    stream = streams.typed_stream(_event_stream(spark, sf_dir, files_per_batch=3))
+    return streams.run_first_copies(stream, new_folder(spark, "first")).select("email_address", "customer_text")
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, files: int = 1) -> DataFrame:
-    """Raw tickets as a file stream; several files make several micro-batches."""
+def _event_stream(spark: SparkSession, sf_dir: str, files: int = 8, files_per_batch: int | None = None) -> DataFrame:
+    """Raw tickets as a stream of files, rows in any order; without a limit all files are one batch."""
     source = new_folder(spark, "arriving")
-    tickets_raw(spark, sf_dir).repartitionByRange(files, ROW_ID).write.parquet(source)
+    tickets_raw(spark, sf_dir).repartition(files, ROW_ID).write.parquet(source)
     schema = spark.read.parquet(source).schema
-    return streams.read_stream(spark, source, schema, format="parquet", files_per_batch=1)
+    return streams.read_stream(spark, source, schema, format="parquet", files_per_batch=files_per_batch)
 
 
-def _ingested(spark: SparkSession, sf_dir: str, files: int = 1) -> str:
+def _ingested(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> str:
     root = new_folder(spark, "lake")
     streams.ingest(
-        _event_stream(spark, sf_dir, files), reference_data.dim_regions(spark), AS_OF, root
+        _event_stream(spark, sf_dir, files_per_batch=files_per_batch), reference_data.dim_regions(spark), AS_OF, root
     ).awaitTermination()
     return root
 
