@@ -10,26 +10,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ticketmill.llm import language_id, mixing, packing, quality_classifier, simhash
 from ticketmill.llm.queries import labels
-from ticketmill.llm.tables import documents, stored
+from ticketmill.llm.tables import documents, small_batches, stored
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return language_id.in_known_language(docs)
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return quality_classifier.of_good_quality(docs, labels(spark, sf_dir))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return simhash.one_of_each_group(docs, shingle_words=4, distance=4)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.mix_sources(docs).select(docs.columns)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), window=1024)
 
 

@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
-CHUNK_TEXTS = 2048
+CHUNK = 1 << 18
+CHUNK_TEXTS = 1024
 
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -50,7 +50,9 @@ class Words(NamedTuple):
 def chunks(texts: pa.Array, size: int = CHUNK) -> Iterator[Chunk]:
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    texts = texts.cast(pa.large_string())
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
     if not len(texts):
         return
     _, where, data = texts.buffers()
@@ -102,7 +104,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of `values` (odd 64-bit numbers that stand for its symbols)."""
-    up, down = _powers(1 << max(int(len(values)).bit_length(), 20))
+    up, down = _powers(1 << max(int(len(values)).bit_length(), 18))
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[: len(values)], out=sums[1:])
     return scramble((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
