@@ -22,6 +22,7 @@ from ticketmill.llm.tables import remainder_of_id, stored
 from ticketmill.llm.words import BYTE_VALUES, LOWER, Chunk, chunks, find_words, scramble, span_hashes, sums_by_text
 
 SCALE = 12.0
+STATE = "shard int, z binary, n binary"
 SHAPES = np.arange(256, dtype=np.uint8)
 SHAPES[65:91], SHAPES[97:123], SHAPES[48:58], SHAPES[128:] = 65, 97, 48, 97
 
@@ -93,11 +94,23 @@ def _shard_fit(start: Broadcast, seed: int):
         part = part.sort_by("text")
         part = part.take(np.random.default_rng(seed).permutation(len(part)))
         _fit(part.column("text"), part.column("label").to_numpy(), own)
-        return pa.table({"z": pa.array([own.z.tobytes()], pa.binary()), "n": pa.array([own.n.tobytes()], pa.binary())})
+        return _state(part.column("shard")[0].as_py(), own.z, own.n)
 
     return fit
 
 
+def _state(shard: int, z: np.ndarray, n: np.ndarray) -> pa.Table:
+    one = {"shard": pa.array([shard], pa.int32()), "z": pa.array([z.tobytes()], pa.binary()), "n": pa.array([n.tobytes()], pa.binary())}
+    return pa.table(one)
+
+
+def _mean_state(part: pa.Table) -> pa.Table:
+    """One state for those of all shards, so that the driver gets no more than one."""
+    part = part.sort_by("shard")
+    z, n = (np.mean([np.frombuffer(x) for x in part.column(c).to_pylist()], axis=0) for c in ("z", "n"))
+    return _state(-1, z, n)
+
+
 def train_quality_model(
     labelled: DataFrame, rows_per_label: int = 6000, shards: int = 8, rounds: int = 3, buckets: int = 1 << 17
 ) -> QualityModel:
@@ -114,10 +127,9 @@ def train_quality_model(
     context = rows.sparkSession.sparkContext
     for turn in range(rounds):
         fit = _shard_fit(context.broadcast(model), SEED + turn)
-        states = rows.groupBy("shard").applyInArrow(fit, "z binary, n binary").collect()
-        model = QualityModel(
-            np.mean([np.frombuffer(s.z) for s in states], axis=0), np.mean([np.frombuffer(s.n) for s in states], axis=0)
-        )
+        states = rows.groupBy("shard").applyInArrow(fit, STATE)
+        for state in states.groupBy().applyInArrow(_mean_state, STATE).collect():
+            model = QualityModel(np.frombuffer(state.z), np.frombuffer(state.n))
     return model
 
 
