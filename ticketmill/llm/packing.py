@@ -60,7 +60,9 @@ def _place(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def id_type(vocabulary: str) -> np.dtype:
     """Little-endian type that holds every id: 16 bits where the vocabulary allows it."""
-    return np.dtype("<u2" if encoder(vocabulary).bpe.n_vocab <= 1 << 16 else "<u4")
+    with open(vocabulary, "rb") as lines:
+        last = max(int(line.split()[1]) for line in lines)
+    return np.dtype("<u2" if last < 1 << 16 else "<u4")
 
 
 def token_table(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
