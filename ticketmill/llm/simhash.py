@@ -30,6 +30,7 @@ from ticketmill.llm.words import LOWER, SPACES, Chunk, chunks, find_words
 BITS = 64
 SEED = 42
 CHAIN = 6
+SLICE = 1 << 16
 BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -51,9 +52,11 @@ def _simhash(chunk: Chunk, width: int) -> np.ndarray:
     first = words.bounds[text] + np.arange(bounds[-1]) - bounds[text]
     last = first + np.minimum(n, width)[text] - 1
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
-        (digest(joined[a:b], SEED) for a, b in zip(start[first].tolist(), end[last].tolist())), np.uint64, len(first)
-    )
+    hashes = np.empty(len(first), np.uint64)
+    for at in range(0, len(first), SLICE):
+        part = slice(at, at + SLICE)
+        spans = zip(start[first[part]].tolist(), end[last[part]].tolist())
+        hashes[part] = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), np.uint64)
 
     ones = np.empty((len(n), BITS), np.int64)
     octets = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)

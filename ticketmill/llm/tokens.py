@@ -28,8 +28,8 @@ SLOTS = 1 << 19
 def _kinds() -> np.ndarray:
     """What each code point is to the pattern."""
     table = np.zeros(0x110000, np.uint8)
-    points = [p for p in range(0x110000) if not 0xD800 <= p < 0xE000]
-    every = "".join(map(chr, points))
+    every = np.arange(0x110000, dtype="<u4")
+    every = every[(every < 0xD800) | (every >= 0xE000)].tobytes().decode("utf-32-le")
     for kind, cls in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (BLANK, r"\s+")):
         for run in regex.finditer(cls, every):
             table[np.frombuffer(run[0].encode("utf-32-le"), "<u4")] = kind

@@ -91,8 +91,7 @@ def scramble(values: np.ndarray) -> np.ndarray:
     return values
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _all_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(BASE, -1, 2**64)
     both = []
     for base in (BASE, inverse):
@@ -102,6 +101,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return both[0], both[1]
 
 
+@lru_cache(maxsize=1)
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _all_powers(2 * CHUNK)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of a chunk of many texts are kept; those of one very long text go with it."""
+    return _usual_powers() if n <= 2 * CHUNK else _all_powers(n)
+
+
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of `values` (odd 64-bit numbers that stand for its symbols)."""
     up, down = _powers(1 << max(int(len(values)).bit_length(), 18))
