@@ -184,7 +184,7 @@ def test_windows_line_ends_and_byte_order_mark(spark, tmp_path):
 
 
 def test_a_failing_rerun_leaves_the_stored_run(spark, folder):
-    path = f"{folder}/atomic"
+    path = folder()
     df = spark.createDataFrame([(1, "r:1"), (2, "r:1")], "n int, execution_id string")
     layers.write_run(df, path, "r:1")
     with pytest.raises(Exception):
@@ -195,7 +195,7 @@ def test_a_failing_rerun_leaves_the_stored_run(spark, folder):
 
 
 def test_append_new_begins_a_table(spark, folder):
-    path, rows = f"{folder}/fresh", spark.createDataFrame([("r1", "a"), ("r1", "a"), ("r1", "b")], "execution_id string, k string")
+    path, rows = folder(), spark.createDataFrame([("r1", "a"), ("r1", "a"), ("r1", "b")], "execution_id string, k string")
     for _ in range(2):
         layers.append_new(rows, path, ["k"])
     assert sorted(r.k for r in layers.read_layer(spark, path).collect()) == ["a", "b"]
