@@ -132,6 +132,13 @@ def test_run_state_of_repeated_and_running_events(spark):
     assert latest == {1: 2, 2: 3}
 
 
+def test_a_skipped_run_has_an_end_alone(spark):
+    runs = spark.createDataFrame([(1, "e", 1)], "run_id long, execution_id string, stage_id long")
+    at = F.lit("2026-06-01 10:00:00").cast("timestamp_ntz")
+    row = runlog.run_state(runlog.skipped_events(runs, at)).first()
+    assert (row.run_status, row.run_start_time, row.duration_seconds) == ("SKIPPED", None, None)
+
+
 def test_percentiles_are_exact(spark):
     import numpy as np
 

@@ -123,6 +123,9 @@ def test_seeded_tables(spark):
     config = reference_data.configuration(spark)
     assert reference_data.config_value(config, "MAX_RETRIES") == "3"
     assert reference_data.config_value(config, "NOT_A_KEY") is None
+    twice = config.unionByName(config.withColumn("config_value", F.lit("2")))
+    assert reference_data.config_value(twice, "MAX_RETRIES") == "3"
+    assert reference_data.config_values(twice, ["MAX_RETRIES"]).first()[0] == "3"
     assert tuple(reference_data.config_values(config, ["MODEL_NAME", "X"]).first()) == ("gemini-2.5-flash", None)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketmill.fixed_values import FAILED, RUN_STATUSES, STARTED, SUCCESS
+from ticketmill.fixed_values import FAILED, RUN_STATUSES, SKIPPED, STARTED, SUCCESS
 from ticketmill.functions.numeric import percentage, round_half_up
 from ticketmill.functions.timestamps import day_label, duration_seconds
 from ticketmill.operators.dedup import keep_latest
@@ -48,6 +48,11 @@ def failure_events(runs: DataFrame, time: Column, error: Column) -> DataFrame:
     return _events(runs, FAILED, time, error=error)
 
 
+def skipped_events(runs: DataFrame, time: Column) -> DataFrame:
+    """Runs that were not carried out; they need no start."""
+    return _events(runs, SKIPPED, time)
+
+
 def metrics_json(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns))
 

@@ -52,13 +52,12 @@ def configuration(spark: SparkSession) -> DataFrame:
 
 
 def config_value(config: DataFrame, key: str) -> str | None:
-    """The value of one key, None when it is absent. Reads one row."""
-    row = config.where(F.col("config_key") == key).select("config_value").limit(1).first()
-    return row["config_value"] if row else None
+    """The value of one key, the largest where it stands repeatedly, None when it is absent."""
+    return config.where(F.col("config_key") == key).agg(F.max("config_value")).first()[0]
 
 
 def config_values(config: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The values of several keys as the columns of one row, null where a key is absent."""
+    """The values of several keys as the columns of one row, each as `config_value` gives it."""
     return config.where(F.col("config_key").isin(list(keys))).agg(
         *[F.max(F.when(F.col("config_key") == key, F.col("config_value"))).alias(key.lower()) for key in keys]
     )
