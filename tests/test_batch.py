@@ -8,6 +8,7 @@ import pytest
 from conftest import AS_OF, ticket
 from pyspark.sql import functions as F
 
+from ticketmill.fixed_values import FACT_LENGTHS
 from ticketmill.operators import reports, runlog
 from ticketmill.plans import batch
 from ticketmill.schemas import FACT
@@ -118,6 +119,21 @@ def test_a_load_that_breaks_a_constraint_writes_nothing(spark, bronze, tmp_path)
     assert [r.stage_id for r in runlog.failed_runs(batch.read_runs(spark, root)).collect()] == [4]
 
 
+def test_rows_over_the_limits_are_quarantined_and_all_others_load(spark, bronze, tmp_path):
+    long = [ticket(customer_text="ä" * 501), ticket(email_address="a" * 100 + "@b.c"), ticket(customer_text="x" * 1000)]
+    run(spark, bronze, str(tmp_path / "lake"), "r1", raw=[*rows(), *long], limits=FACT_LENGTHS)
+    gold = batch.read_gold(spark, str(tmp_path / "lake")).collect()
+    assert sorted(len(r.customer_text) for r in gold) == [10, 12, 1000]
+    quarantine = batch.read_quarantine(spark, str(tmp_path / "lake"))
+    reasons = [r.failure_reason for r in quarantine.where("failure_reason LIKE '%longer%'").collect()]
+    assert sorted(reasons) == ["customer_text is longer than 1000", "email_address is longer than 100"]
+    assert quarantine.count() == 4
+
+    run(spark, bronze, str(tmp_path / "wide"), "r1", raw=[*rows(), *long], limits={"customer_text": 2000})
+    assert sorted(len(r.customer_text.encode()) for r in batch.read_gold(spark, str(tmp_path / "wide")).collect())[-2:] == [1000, 1002]
+    batch.load_run(spark, str(tmp_path / "wide"), "r1", AS_OF, rules=[])
+
+
 def test_run_state_of_repeated_and_running_events(spark):
     runs = spark.createDataFrame([(1, "e", 1), (2, "e", 1), (3, "e", 2)], "run_id long, execution_id string, stage_id long")
     start, end = (F.lit(t).cast("timestamp_ntz") for t in ("2026-06-01 10:00:00.9", "2026-06-01 10:00:03.1"))

@@ -33,8 +33,8 @@ def max_length_rules(lengths: Mapping[str, int], in_bytes: bool = True) -> list[
     ]
 
 
-def fact_rules() -> list[Rule]:
-    return not_null_rules(FACT_REQUIRED) + max_length_rules(FACT_LENGTHS)
+def fact_rules(lengths: Mapping[str, int] = FACT_LENGTHS) -> list[Rule]:
+    return not_null_rules(FACT_REQUIRED) + max_length_rules(lengths)
 
 
 def run_rules() -> list[Rule]:

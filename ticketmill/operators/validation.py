@@ -87,17 +87,19 @@ def check_tickets(
     as_of: datetime | str | Column,
     formats: Sequence[str] = TIMESTAMP_FORMATS,
     region_column: str = "region_name",
+    more_rules: Sequence[Rule] = (),
 ) -> DataFrame:
     """Judge every row: adds the parsed times, `failure_reason` and `failed_rules`.
 
-    A projection over one lookup of the region; no shuffle while the region table is small.
+    A projection over one lookup of the region; no shuffle while the region table is small. Messages of
+    `more_rules` on the raw columns follow those of the ticket rules.
     """
     times = {CREATED: "created_at", RESPONDED: "first_response_at"}
     parsed = require_columns(bronze).withColumns({new: parse_timestamp(F.col(raw), formats) for new, raw in times.items()})
     parsed = parsed.withColumns({new: within_clock(F.col(new)) for new in times})
     named = regions.where(~is_blank(F.col(region_column)))
     flagged = flag_members(parsed, "region", named, region_column, "_known_region")
-    return apply_rules(flagged, ticket_rules(as_of, F.col("_known_region"))).drop("_known_region")
+    return apply_rules(flagged, [*ticket_rules(as_of, F.col("_known_region")), *more_rules]).drop("_known_region")
 
 
 def passed() -> Column:

@@ -8,7 +8,7 @@ any stage may be repeated, by this run or by a later one.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketmill import schemas
-from ticketmill.fixed_values import FACT_TABLE
+from ticketmill.fixed_values import FACT_TABLE, REQUIRED_COLUMNS
 from ticketmill.operators import load, runlog, validation
-from ticketmill.operators.constraints import fact_rules, require_rules
+from ticketmill.operators.constraints import fact_rules, max_length_rules, require_rules
 from ticketmill.operators.enrichment import enrich_tickets, enrichment_summary, lexicon_polarity, score_by_lexicon
 from ticketmill.operators.lookup import lookup_stage_ids
+from ticketmill.operators.rules import Rule
 from ticketmill.operators.scoring import score_tickets
 from ticketmill.schemas import EXECUTION_ID, ROW_ID, RUN_EVENTS
 from ticketmill.sources import layers, reference_data
@@ -41,9 +42,20 @@ def _with_run(schema: T.StructType) -> T.StructType:
     return T.StructType([*kept, T.StructField(EXECUTION_ID, T.StringType(), True)])
 
 
-def judge(bronze: DataFrame, regions: DataFrame, as_of: datetime | str | Column, root: str, run: str) -> None:
-    """Judge landed rows; valid and quarantined rows become the two partitions of one table, in one job."""
-    judged = validation.judge_tickets(validation.check_tickets(bronze, regions, as_of))
+def judge(
+    bronze: DataFrame,
+    regions: DataFrame,
+    as_of: datetime | str | Column,
+    root: str,
+    run: str,
+    limits: Mapping[str, int] | None = None,
+) -> None:
+    """Judge landed rows; valid and quarantined rows become the two partitions of one table, in one job.
+
+    A row with more bytes in a raw column than `limits` allows is quarantined, with the reason.
+    """
+    too_long = max_length_rules({c: n for c, n in (limits or {}).items() if c in REQUIRED_COLUMNS})
+    judged = validation.judge_tickets(validation.check_tickets(bronze, regions, as_of, more_rules=too_long))
     outcome = F.when(validation.passed(), VALID).otherwise(QUARANTINED)
     layers.write_run(judged.withColumn(OUTCOME, outcome), f"{root}/judged", run, partition_by=[OUTCOME])
 
@@ -113,13 +125,19 @@ def land_run(spark: SparkSession, raw: DataFrame, root: str, run: str) -> None:
     logged_stage(spark, root, run, "Generate Raw Data", work)
 
 
-def validate_run(spark: SparkSession, root: str, run: str, as_of: datetime | str | Column | None = None) -> None:
-    """Verdicts on the landed rows of one run; `as_of` is now unless given."""
+def validate_run(
+    spark: SparkSession,
+    root: str,
+    run: str,
+    as_of: datetime | str | Column | None = None,
+    limits: Mapping[str, int] | None = None,
+) -> None:
+    """Verdicts on the landed rows of one run; `as_of` is now unless given. Rows over `limits` are quarantined."""
 
     def work() -> DataFrame:
         bronze = layers.read_layer(spark, f"{root}/bronze", run)
         validation.require_rows(validation.require_columns(bronze))
-        judge(bronze, reference_data.dim_regions(spark), F.localtimestamp() if as_of is None else as_of, root, run)
+        judge(bronze, reference_data.dim_regions(spark), F.localtimestamp() if as_of is None else as_of, root, run, limits)
         summary = validation.summarize_judged(layers.read_layer(spark, f"{root}/judged", run))
         name = F.lit(f"{run}/")
         return summary.withColumns(
@@ -179,12 +197,17 @@ def enrich_run(
 
 
 def load_run(
-    spark: SparkSession, root: str, run: str, ingested_at: datetime | str | Column | None = None
+    spark: SparkSession,
+    root: str,
+    run: str,
+    ingested_at: datetime | str | Column | None = None,
+    rules: Sequence[Rule] | None = None,
 ) -> None:
     """Fact rows of one run, replacing an earlier load of it. Keys continue after the largest one stored by
     the other runs, whether those loads were logged or not; one load at a time may run.
 
-    A row that breaks a constraint of the fact table fails the load before anything is written.
+    A row that breaks one of `rules` (the constraints of the fact table, `fact_rules()`, unless given) fails
+    the load before anything is written; give `validate_run` the limits, and no such row comes here.
     """
 
     def work() -> DataFrame:
@@ -194,7 +217,7 @@ def load_run(
             reference_data.dim_categories(spark),
             F.localtimestamp() if ingested_at is None else ingested_at,
         )
-        require_rules(fact, fact_rules())
+        require_rules(fact, fact_rules() if rules is None else rules)
         last = 0
         if layers.exists(spark, f"{root}/{FACT_TABLE}"):
             others = layers.read_layer(spark, f"{root}/{FACT_TABLE}", schema=schemas.FACT).where(F.col(EXECUTION_ID) != run)
@@ -218,10 +241,15 @@ def run_all(
     lexicon: Mapping[str, float] | DataFrame,
     score: Callable[[str], str | None] | None = None,
     as_of: datetime | str | Column | None = None,
+    limits: Mapping[str, int] | None = None,
     **scoring: object,
 ) -> None:
-    """All four stages of one run, one after the other; the first failure ends it."""
+    """All four stages of one run, one after the other; the first failure ends it.
+
+    With `limits` (bytes by column), rows over them are quarantined and all others load; without, one row
+    over `FACT_LENGTHS` refuses the load.
+    """
     land_run(spark, raw, root, run)
-    validate_run(spark, root, run, as_of)
+    validate_run(spark, root, run, as_of, limits)
     enrich_run(spark, root, run, lexicon, score, **scoring)
-    load_run(spark, root, run, as_of)
+    load_run(spark, root, run, as_of, None if limits is None else fact_rules(limits))

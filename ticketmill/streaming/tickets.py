@@ -8,7 +8,7 @@ leaves the same tables.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,15 +57,23 @@ def run_of_batch(batch: int, checkpoint: str) -> str:
 
 
 def ingest(
-    stream: DataFrame, regions: DataFrame, as_of: datetime | str | Column, root: str, checkpoint: str | None = None
+    stream: DataFrame,
+    regions: DataFrame,
+    as_of: datetime | str | Column,
+    root: str,
+    checkpoint: str | None = None,
+    limits: Mapping[str, int] | None = None,
 ) -> StreamingQuery:
-    """Check every new batch and store it below `root`. `as_of` may be F.localtimestamp()."""
+    """Check every new batch and store it below `root`. `as_of` may be F.localtimestamp().
+
+    Rows over `limits` (bytes by column) are quarantined, as in `batch.validate_run`.
+    """
 
     checkpoint = checkpoint or f"{root}/_checkpoint"
 
     def handle(batch: DataFrame, number: int) -> None:
         run = run_of_batch(number, checkpoint)
-        judge(land(batch, root, run), regions, as_of, root, run)
+        judge(land(batch, root, run), regions, as_of, root, run, limits)
 
     return (
         stream.writeStream.foreachBatch(handle)

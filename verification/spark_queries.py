@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.fixed_values import RUN_STATUSES
+from ticketmill.fixed_values import FACT_LENGTHS, RUN_STATUSES
 from ticketmill.functions.text import contains_any
 from ticketmill.functions.tickets import unanswered_risk
 from ticketmill.operators import constraints, load, reports, runlog, validation
@@ -478,8 +478,8 @@ def run_from_raw_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored run: raw rows land, are judged, enriched by the stand-in model and loaded; then a report."""
     root, run = new_folder(spark, "lake"), "20240201_000000"
     batch.run_all(
-        spark, tickets_raw(spark, sf_dir), root, run, LEXICON, length_scorer(), AS_OF, max_retries=1, delay_seconds=0,
-        sleep=lambda seconds: None,
+        spark, tickets_raw(spark, sf_dir), root, run, LEXICON, length_scorer(), AS_OF, FACT_LENGTHS, max_retries=1,
+        delay_seconds=0, sleep=lambda seconds: None,
     )
     return reports.severity_report(batch.read_gold(spark, root))
 
