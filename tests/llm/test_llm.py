@@ -120,6 +120,32 @@ def test_toxicity_is_learned(spark, odd, empty):
     assert toxicity.predict_toxicity(empty, labels).count() == 0
 
 
+def test_toxic_rows_are_found_with_few_labels_too(spark):
+    planted = {"worthless", "scum", "disgusting", "moron", "trash", "stupid", "loser", "idiot", "clown", "pathetic"}
+    for sf, terms, recall in ((SMALL, 7, 0.4), (MEDIUM, 10, 0.75)):
+        docs, labels = table(spark, "documents", sf), table(spark, "labels", sf)
+        out = toxicity.remainder_of_id("doc_id", 3) == 1
+        rows = toxicity.labels_of(docs.where(~out), labels.where(~out), "toxic")
+        assert len(planted & set(toxicity.mine_lexicon(rows))) >= terms
+        found = toxicity.predict_toxicity(docs, labels).join(labels, "doc_id").where("held_out AND toxic = 1")
+        assert found.where("predicted = 1").count() >= recall * found.count() > 0
+
+
+def test_lexicon_has_no_limit_of_terms(spark):
+    marks = [f"w{k:04}" for k in range(600)]
+    rows = [(1, " ".join(f"c{k}{i} {m}" for i, m in enumerate(marks))) for k in range(12)] + [(0, f"plain{k} text") for k in range(12)]
+    assert set(marks) <= set(toxicity.mine_lexicon(spark.createDataFrame(rows, "label int, text string")))
+
+
+def test_terms_are_found_beside_punctuation_and_misspelled():
+    model = toxicity.ToxicityModel(["idiot", "moron", "scum"], np.ones((3, 3)))
+    texts = pa.array(["moron/idiot", "x you,idiot", "a scvm", "idi*t", "the 'u-moron' (moron's)", "a-b c/d"])
+    hits = toxicity._hits(next(iter(toxicity.chunks(texts))), toxicity._automaton(model.terms))
+    found = list(zip(hits["text"].tolist(), hits["term"].tolist(), hits["edits"].tolist()))
+    assert found == [(0, 1, 0), (0, 0, 0), (1, 0, 0), (2, 2, 1), (3, 0, 1), (4, 1, 0), (4, 1, 0)]
+    assert hits["directed"].tolist()[2]
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -12,6 +12,7 @@ it is directed, and the hits around it tell a heated passage from a single menti
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from ticketmill.llm.samples import sample_of_each
 from ticketmill.llm.tables import remainder_of_id, stored
 from ticketmill.llm.words import Chunk, chunks, code_points, find_words, lower_points, span_hashes
 
-LENGTHS = (1, 5, 9)
+LENGTHS = (1, 4, 9)
 WINDOW = 6
 PREVIOUS = 16
 ADDRESS = ("you", "your", "you're", "u", "du", "dich", "dein", "ihr", "tu", "toi", "ton", "vous", "usted", "eres")
@@ -169,6 +170,20 @@ def _punctuation() -> np.ndarray:
 PUNCTUATION = _punctuation()
 
 
+def _pieces(core: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, start and end of each piece of the words that punctuation cuts into several.
+
+    `core` are the places of all points that are no punctuation, `starts` those where words begin.
+    """
+    word = np.searchsorted(starts, core, "right") - 1
+    new = np.append(True, (np.diff(core) > 1) | (np.diff(word) > 0))[: len(core)]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(core)) - 1
+    word = word[first]
+    several = (word >= 0) & (np.bincount(np.maximum(word, 0), minlength=1)[word] > 1)
+    return word[several], core[first[several]], core[last[several]] + 1
+
+
 def _hits(chunk: Chunk, automaton: LexiconAutomaton) -> dict[str, np.ndarray]:
     """The hits of a chunk: text, term, edits, quoted, directed, and hits near by (itself included)."""
     points, _ = code_points(chunk)
@@ -181,22 +196,36 @@ def _hits(chunk: Chunk, automaton: LexiconAutomaton) -> dict[str, np.ndarray]:
     start, end = before[words.start], before[words.end]
     after, until = np.searchsorted(core, start), np.searchsorted(core, end)
     some = until > after
+    raw = start
     start = np.where(some, np.append(core, n)[np.minimum(after, len(core))], start)
     end = np.where(some, np.append(core, n)[np.maximum(until - 1, 0)] + 1, start)
     hits, term, edits = automaton.scan(low, start, end)
+    where = start[hits]
+    piece_word, piece_start, piece_end = _pieces(core, raw)
+    if len(piece_word):
+        rest = ~np.isin(piece_word, hits)
+        more, more_term, more_edits = automaton.scan(low, piece_start[rest], piece_end[rest])
+        where = np.append(where, piece_start[rest][more])
+        order = np.argsort(where, kind="stable")
+        hits, where = np.append(hits, piece_word[rest][more])[order], where[order]
+        term, edits = np.append(term, more_term)[order], np.append(edits, more_edits)[order]
 
     text = np.searchsorted(words.bounds, hits, "right") - 1
     first, last = words.bounds[text], words.bounds[text + 1]
     around = np.stack([np.maximum(first, hits - WINDOW), np.minimum(last, hits + WINDOW + 1)])
-    hashes = span_hashes(low.astype(np.uint64) * 2 + 1, start, end) if len(hits) else np.zeros(len(start), np.uint64)
+    values = low.astype(np.uint64) * 2 + 1
+    hashes = span_hashes(values, start, end) if len(hits) else np.zeros(len(start), np.uint64)
+    piece_hashes = span_hashes(values, piece_start, piece_end) if len(hits) else np.zeros(len(piece_word), np.uint64)
     near = []
-    for flags in (np.isin(hashes, _hashes_of(REPORTING)), np.isin(hashes, _hashes_of(ADDRESS))):
+    for marks in (_hashes_of(REPORTING), _hashes_of(ADDRESS)):
+        flags = np.isin(hashes, marks)
+        flags[piece_word[np.isin(piece_hashes, marks)]] = True
         so_far = np.append(0, np.cumsum(flags))
         near.append(so_far[around[1]] > so_far[around[0]])
     wide = np.stack([np.maximum(first, hits - 4 * WINDOW), np.minimum(last, hits + 4 * WINDOW + 1)])
     company = np.searchsorted(hits, wide[1]) - np.searchsorted(hits, wide[0])
     return {
-        "text": text, "term": term, "edits": edits, "quoted": _in_quotes(points, start[hits], before[words.start[first]]) | near[0],
+        "text": text, "term": term, "edits": edits, "quoted": _in_quotes(points, where, before[words.start[first]]) | near[0],
         "directed": near[1], "near": company,
     }
 
@@ -229,25 +258,57 @@ def _features(hits: dict[str, np.ndarray], texts: int, weights: np.ndarray) -> n
     return np.log1p(np.stack(sums, axis=1))
 
 
-def mine_lexicon(labelled: DataFrame, most_terms: int = 384, least_contexts: int = 6, ratio: float = 20.0) -> list[str]:
-    """Words that mark label 1: at least `ratio` times as frequent there, in `least_contexts` contexts.
+def _chance(a: np.ndarray, b: np.ndarray, share: float) -> np.ndarray:
+    """Log of the probability that at least `a` of a + b contexts fall to label 1, whose share is `share`."""
+    found = np.zeros(len(a))
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        i = np.arange(x, x + y + 1)
+        own = _log_factorials(1 << max((x + y).bit_length(), 16))
+        terms = own[x + y] - own[i] - own[x + y - i] + i * np.log(share) + (x + y - i) * np.log1p(-share)
+        found[k] = terms.max() + np.log(np.exp(terms - terms.max()).sum())
+    return np.minimum(found, 0.0)
+
+
+@lru_cache(maxsize=1)
+def _log_factorials(size: int) -> np.ndarray:
+    return np.append(0.0, np.cumsum(np.log(np.arange(1, size + 1))))
+
+
+def mine_lexicon(labelled: DataFrame, sure_contexts: int = 6, ratio: float = 20.0, by_chance: float = 10.0) -> list[str]:
+    """Words that mark label 1: at least `ratio` times as frequent there, and hardly so by chance.
 
     Uses are counted once for each preceding word, so a text with many copies counts as one. Words of
-    three letters and more compete; the `most_terms` best become the lexicon.
+    three letters and more compete. A word needs as many contexts as let about `by_chance` words at most
+    pass by chance: with few labelled rows two or three do, and `sure_contexts` always do. Words with too
+    few contexts to pass at all are not counted among those tried (Tarone).
     """
-    plain = F.regexp_replace(F.lower("text"), r"(^|[\s])[\p{Punct}«»“”„¿¡]+|[\p{Punct}«»“”„]+(?=\s|$)", " ")
+    parts = F.regexp_replace(F.lower("text"), r"[\p{Punct}«»“”„¿¡&&[^']]+", " ")
+    plain = F.regexp_replace(parts, r"(^|[\s])[\p{Punct}«»“”„¿¡]+|[\p{Punct}«»“”„]+(?=\s|$)", " ")
     words = labelled.select("label", F.split(F.trim(plain), r"\s+").alias("w"))
     uses = words.select("label", F.explode(F.arrays_zip("w", F.concat(F.array(F.lit("")), "w").alias("p"))).alias("use"))
     uses = uses.select("label", F.col("use.w").alias("word"), F.substring("use.p", -PREVIOUS, PREVIOUS).alias("previous"))
-    counted = (
+    counted = stored(
         uses.where(F.length("word") >= 3).groupBy("word", "previous", "label").agg(F.lit(1))
-        .groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-        .where(F.col("a") >= least_contexts)
+        .groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")),
+        "toxicity-words",
     )
     sizes = {r.label: r.n for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    whole = counted.agg(F.coalesce(F.sum("a"), F.lit(0)).alias("a"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    share = (whole.a + 0.5) / (whole.a + whole.b + 1)
+    uses_of = {r.n: r.words for r in counted.groupBy((F.col("a") + F.col("b")).alias("n")).agg(F.count("*").alias("words")).collect()}
+    # A word of n contexts passes with log chance n * log(share) at best: the fewer are asked, the more words are tried.
+    tried, bound = 0, np.log(by_chance)
+    for n in sorted(uses_of, reverse=True):
+        if n * np.log(share) > np.log(by_chance) - np.log(tried + uses_of[n]):
+            break
+        tried += uses_of[n]
+    if tried:
+        bound -= np.log(tried)
     rate = ((F.col("a") + 0.5) / (sizes.get(1, 0) + 1)) / ((F.col("b") + 0.5) / (sizes.get(0, 0) + 1))
-    best = counted.withColumn("rate", rate).where(F.col("rate") >= ratio)
-    return sorted(r.word for r in best.orderBy(F.col("a") * F.log("rate"), "word", ascending=False).limit(most_terms).collect())
+    marking = counted.withColumn("rate", rate).where((F.col("rate") >= ratio) & (F.col("a") > 1)).select("word", "a", "b").toArrow()
+    a, b = (marking.column(c).to_numpy().astype(np.int64) for c in ("a", "b"))
+    kept = (a >= sure_contexts) | (_chance(a, b, share) <= bound)
+    return sorted(w for w, keep in zip(marking.column("word").to_pylist(), kept) if keep)
 
 
 def train_toxicity_model(labelled: DataFrame, rows_per_label: int = 4000, extra_terms: tuple[str, ...] = ()) -> ToxicityModel:
