@@ -238,6 +238,15 @@ def test_neighbours_against_plain_bm25():
             assert np.allclose([bm25(terms, docs[k]) for k in got], [-s for s, _ in sorted(plain)])
 
 
+def test_document_frequencies_count_every_document(spark):
+    n = 30_000
+    rows = spark.range(n).select(F.when(F.col("id") == 7, F.unhex(F.lit("0500"))).otherwise(F.unhex(F.lit("030003000400"))).alias("ids"))
+    found = packing.term_statistics(rows, np.dtype("<u2"))
+    seen = np.array([0, 0, 0, n - 1, n - 1, 1])
+    assert np.allclose(found.weight, np.log1p((n - seen + 0.5) / (seen + 0.5)))
+    assert found.mean_length == (3 * (n - 1) + 1) / n
+
+
 # 4: rule cascade
 
 

@@ -5,7 +5,7 @@ their word pairs, so copies and near copies meet; hash ties are cut further by i
 copies is spread over shards. Each shard builds an inverted index of all tokens of all its documents. A
 window begins with a seed document and takes the seed's best neighbours that are not used yet; the one
 that no longer fits is cut there, and what is left of it seeds the next window. Windows come out full
-but for one a shard. Document frequencies are taken from a bounded sample; every document is indexed.
+but for one a shard. Document frequencies and the mean length are those of all documents.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ TIE_BITS = 20
 
 @dataclass
 class TermStatistics:
-    """Of a sample: weight of each token by its document frequency, and the mean length in tokens."""
+    """Weight of each token by its document frequency, and the mean length in tokens."""
 
     weight: np.ndarray
     mean_length: float
@@ -86,9 +86,8 @@ def token_table(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", tex
     return stored(made.withColumn("key", spread), "tokens")
 
 
-def term_statistics(tokens: DataFrame, kind: np.dtype, rows: int = 20_000) -> TermStatistics:
-    """Document frequencies over about `rows` sampled documents: the documented bound of the sample."""
-    n = tokens.count()
+def term_statistics(tokens: DataFrame, kind: np.dtype) -> TermStatistics:
+    """Document frequencies and mean length over all documents; each task sums its own, one row a token."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, documents, length = np.zeros(1 << 16, np.int64), 0, 0
@@ -103,8 +102,7 @@ def term_statistics(tokens: DataFrame, kind: np.dtype, rows: int = 20_000) -> Te
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"term": np.append(at, [-1, -2]), "n": np.append(seen[at], [documents, length])})
 
-    sample = tokens.select("ids").sample(min(1.0, rows / max(n, 1)), SEED)
-    found = sample.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    found = tokens.select("ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     counts = {r.term: r.n for r in found}
     documents, length = counts.pop(-1, 0), counts.pop(-2, 0)
     frequency = np.zeros(max(counts, default=0) + 1)
