@@ -97,4 +97,86 @@ ORACLES = {
             CASE WHEN reply_k IS NULL OR same OR theirs IS NULL THEN '' ELSE '14-' || (length(theirs) - 1) END AS rejected_spans
         FROM both_
     """,
+    "op11_ranked_search": r"""
+        WITH lowered AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+        ),
+        asked AS (
+            SELECT item_id, term, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+            ) GROUP BY item_id, term
+        ),
+        totals AS (SELECT count(*) FILTER (WHERE len(t) > 0)::BIGINT AS n_all, sum(len(t))::BIGINT AS l_all FROM lowered),
+        lengths AS (
+            SELECT r, doc_id, 100 - 25 + (25 * len(t)::BIGINT * n_all) // greatest(l_all, 1) AS m FROM lowered, totals
+        ),
+        postings AS (
+            SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM lowered)
+            WHERE term IN (SELECT term FROM asked) GROUP BY r, term
+        ),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * n_all + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM postings, totals GROUP BY term, n_all
+        ),
+        scores AS (
+            SELECT item_id, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+            FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (r) GROUP BY item_id, r
+        ),
+        ranked AS (
+            SELECT item_id, doc_id, score,
+                row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+            FROM scores JOIN lengths USING (r) WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
+    "op12_substring_dedup": rf"""
+        WITH t AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+        passages AS (
+            SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+            FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t WHERE len(w) >= 13)
+        ),
+        least AS (SELECT g, min(doc_id) AS first_id FROM passages GROUP BY g),
+        hits AS (
+            SELECT r, i FROM passages JOIN least USING (g)
+            WHERE first_id IS NOT NULL AND (doc_id IS NULL OR first_id < doc_id)
+        ),
+        gone AS (SELECT DISTINCT r, i + k AS i FROM hits, range(13) AS s(k)),
+        left_ AS (
+            SELECT e.r, string_agg(e.word, ' ' ORDER BY e.i) AS kept, count(*) AS n
+            FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM t) e
+            LEFT JOIN gone ON gone.r = e.r AND gone.i = e.i WHERE gone.r IS NULL GROUP BY e.r
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+            sha256(coalesce(kept, '')) AS kept_sha256
+        FROM t LEFT JOIN left_ USING (r)
+    """,
+    "op13_infill": """
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n,
+                sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+        ),
+        drawn AS (
+            SELECT doc_id, text, n, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS u1, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS u2,
+                n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                    OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 AS plain,
+                ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 AS spm
+            FROM t
+        ),
+        cut AS (
+            SELECT *, least(u1, u2) AS a, greatest(u1, u2) AS b, substr(text, 1, least(u1, u2)) AS prefix,
+                substr(text, least(u1, u2) + 1, greatest(u1, u2) - least(u1, u2)) AS middle,
+                substr(text, greatest(u1, u2) + 1) AS suffix
+            FROM drawn
+        )
+        SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+            CASE WHEN NOT plain THEN a END AS prefix_chars, CASE WHEN NOT plain THEN b - a END AS middle_chars,
+            sha256(CASE WHEN plain THEN text WHEN spm THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+                ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+            sha256(text) AS restored_sha256
+        FROM cut
+    """,
 }

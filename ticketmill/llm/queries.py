@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.llm import (
-    class_lm, fingerprints, language_id, mixing, packing, preferences, quality_classifier, rule_cascade, simhash, toxicity,
+    class_lm, fingerprints, infill, language_id, mixing, packing, preferences, quality_classifier, rule_cascade, search,
+    simhash, substring, toxicity,
 )
 from ticketmill.llm.tables import documents
 
@@ -65,10 +66,32 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.score_texts(documents(spark, sf_dir))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return search.search(documents(spark, sf_dir), items, k=20)
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.drop_repeated(documents(spark, sf_dir), window=13)
+    sizes = F.transform("removed", lambda s: s["stop"] - s["start"])
+    n_removed = F.aggregate(sizes, F.lit(0).cast("long"), lambda total, size: total + size)
+    return found.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.infill(documents(spark, sf_dir))
+    restored = infill.restore("output", "form")
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_quality_classifier, op3_retrieval_packing, op4_rule_cascade, op5_poisson_mix,
         op6_language_id, op7_preferences, op8_toxicity, op9_simhash, op10_class_lm,
+        op11_ranked_search, op12_substring_dedup, op13_infill,
     )
 }
