@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ticketmill.plans.session import local_session  # noqa: E402
-from verification.spark_queries import QUERIES  # noqa: E402
+from verification.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
     "validate_reasons",

@@ -32,6 +32,24 @@ def test_parse_timestamp(spark, value, expected, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ("06/02/2026 10:30 PM", "2026-06-02 22:30:00"), ("2026-06-02 10:30 PM", "2026-06-02 22:30:00"),
+        ("2 Jun 2026 10:30 AM", "2026-06-02 10:30:00"), ("06/02/2026 10:30:00.123", "2026-06-02 10:30:00.123"),
+        ("2026/06/02 10:30:00.5", "2026-06-02 10:30:00.5"), ("20260602T101112", "2026-06-02 10:11:12"),
+        ("2026.06.02", "2026-06-02 00:00:00"), ("06/02/26", "2026-06-02 00:00:00"), ("06/02/99", "1999-06-02 00:00:00"),
+        ("June 2026", "2026-06-01 00:00:00"), ("Tue, 02 Jun 2026 10:00:00", "2026-06-02 10:00:00"),
+        ("Tuesday, June 2, 2026", "2026-06-02 00:00:00"), ("2nd June 2026 12:05 a.m.", "2026-06-02 00:05:00"),
+        ("june 2 2026 12:05 pm", "2026-06-02 12:05:00"), ("2026-06-02 13:00 PM", None), ("June 31, 2026", None),
+        ("2026-06-02 10:30 XM", None), ("12:30", None), ("June", None), ("31/31/2026", None), ("2026-06-02 24:00", None),
+        ("2 Juno 2026", None), ("2026-06-02 10:61", None), ("\u00a02026-06-02T10:00:00+05:30 ", "2026-06-02 10:00:00"),
+    ],
+)
+def test_the_grammar_of_written_times(spark, value, expected):
+    assert one(spark, value, "string", lambda c: timestamps.parse_timestamp(c).cast("string")) == expected
+
+
 def test_times_ignore_the_session_zone(spark):
     """02:30 does not exist in New York on that day; nothing here may move it."""
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

@@ -6,8 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_file
 from verification.compare import connect, duckdb_rows, spark_rows
-from verification.duckdb_queries import ORACLES
-from verification.spark_queries import QUERIES
+from verification.queries import ORACLES, QUERIES
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 

@@ -13,7 +13,9 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ticketmill.fixed_values import EARLIEST_TIME, EXECUTION_ID_FORMAT, LATEST_TIME, TIMESTAMP_FORMATS
+from ticketmill.fixed_values import (
+    EARLIEST_TIME, EXECUTION_ID_FORMAT, LAST_SHORT_YEAR, LATEST_TIME, MONTHS, TIMESTAMP_FORMATS,
+)
 from ticketmill.functions.numeric import round_half_up
 from ticketmill.functions.text import strip
 
@@ -21,6 +23,43 @@ NTZ = "timestamp_ntz"
 ISO_DATE = r"^\d{4}(?:-\d{1,2}(?:-\d{1,2}.*)?)?$"
 HAS_DIGIT = r"\d"
 
+# The grammar of written times. Every alternative names its fields by the letters of `FIELDS`; a field that
+# stands in several alternatives is filled by the one that matches.
+FIELDS = ("year", "month", "day", "name", "hour", "minute", "second", "fraction", "half")
+_MONTH = r"((?i:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?))\.?"
+_WEEKDAY = r"(?:(?i:(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?)\.?,?\s+)?"
+_DAY = r"(\d{1,2})(?i:st|nd|rd|th)?"
+DATES = [
+    (r"(\d{4})[-/.](\d{1,2})(?:[-/.](\d{1,2}))?", ["year", "month", "day"]),
+    (r"(\d{4})(\d{2})(\d{2})(?:[T ]?(\d{2})(\d{2})(\d{2})?)?", ["year", "month", "day", "hour", "minute", "second"]),
+    (r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})", ["month", "day", "year"]),
+    (_DAY + r"[\s-]+" + _MONTH + r",?[\s-]+(\d{4}|\d{2})", ["day", "name", "year"]),
+    (_MONTH + r"\s+" + _DAY + r",?\s+(\d{4})", ["name", "day", "year"]),
+    (_MONTH + r",?\s+(\d{4})", ["name", "year"]),
+]
+CLOCK = (
+    r"(?:(?:T|,?\s+)(\d{1,2})(?=:|\s*[AaPp]\.?[Mm])(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?)?\s*(?:([AaPp])\.?[Mm]\.?)?)?"
+    r"\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})?",
+    ["hour", "minute", "second", "fraction", "half"],
+)
+_MARK = "\x01"
+
+
+def _grammar() -> tuple[str, str]:
+    """One pattern for all written times, and the replacement that lists its fields between marks."""
+    places: dict[str, list[int]] = {name: [] for name in FIELDS}
+    group = 0
+    for _, fields in [*DATES, CLOCK]:
+        for name in fields:
+            group += 1
+            places[name].append(group)
+    dates = "|".join(pattern for pattern, _ in DATES)
+    listed = _MARK.join("".join(f"${g}" for g in places[name]) for name in FIELDS)
+    return f"^{_WEEKDAY}(?:{dates}){CLOCK[0]}$", listed
+
+
+GRAMMAR, LISTED = _grammar()
+
 
 def ntz(value: datetime | str | Column) -> Column:
     """A literal without a zone; a column, such as F.localtimestamp(), stays what it is."""
@@ -45,17 +84,58 @@ def _parse_layout(text: Column, layout: str) -> Column:
     return from_event_time(utc)
 
 
+def _from_fields(fields: Column) -> Column:
+    """The time that a list of `FIELDS` names; null where it names none."""
+    part = {name: F.element_at(fields, k + 1) for k, name in enumerate(FIELDS)}
+
+    def number(name: str, absent: int) -> Column:
+        return F.coalesce(part[name].try_cast("int"), F.lit(absent))
+
+    short = number("year", 0)
+    year = F.when(F.length(part["year"]) > 2, short).otherwise(short + F.when(short <= LAST_SHORT_YEAR, 2000).otherwise(1900))
+    named = _month_of(part["name"])
+    first, second = F.when(part["name"] != "", named).otherwise(number("month", 0)), number("day", 1)
+    swapped = (first > 12) & (second <= 12) & (F.length(part["year"]) > 0)
+    hour, half = number("hour", 0), F.lower(part["half"])
+    of_day = F.when(half == "", hour).when(hour <= 12, hour % 12 + F.when(half == "p", 12).otherwise(0))
+    seconds = F.concat(
+        F.when(part["second"] == "", "0").otherwise(part["second"]), F.lit("."), F.rpad(F.substring(part["fraction"], 1, 6), 6, "0")
+    )
+    made = F.try_make_timestamp_ntz(
+        year, F.when(swapped, second).otherwise(first), F.when(swapped, first).otherwise(second),
+        of_day, number("minute", 0), seconds.try_cast("decimal(16,6)"),
+    )
+    return F.when(F.size(fields) == len(FIELDS), made)
+
+
+def _month_of(name: Column) -> Column:
+    place = F.position(F.lower(F.substring(name, 1, 3)), F.lit("".join(MONTHS)))
+    return F.call_function("div", place + 2, F.lit(3)).cast("int")
+
+
+def parse_written(text: Column) -> Column:
+    """The time written in the text by the grammar of this module, else null.
+
+    One match names the fields; they are read in a lambda, which Spark does not inline into the generated
+    code of the row, so the many cases cost nothing where the text is ISO.
+    """
+    fields = F.split(F.regexp_replace(text, GRAMMAR, LISTED), _MARK, -1)
+    return F.element_at(F.transform(F.array(fields), _from_fields), 1)
+
+
 def parse_timestamp(text: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """Lenient parse: ISO first, then the given layouts; null when none fits.
+    """Lenient parse: ISO first, then the grammar of written times, then the given layouts; null when none fits.
 
+    Month before day, unless that gives no month; a date without a day is the first of its month.
     A zone suffix is dropped. The ISO guard (a year, a month or more) keeps the cast from reading
     '12345' as a year. ISO text, the normal case, costs a match and a cast; only the rest is stripped
     of Unicode whitespace and tried again. Few patterns with alternatives beat many simple ones: each
     adds code to the generated method, which the JVM leaves uncompiled beyond 8000 bytes.
     """
     value = strip(text)
-    again = [F.when(value.rlike(ISO_DATE), value.try_cast(NTZ)), *[_parse_layout(value, f) for f in formats]]
-    return F.when(text.rlike(ISO_DATE), text.try_cast(NTZ)).when(text.rlike(HAS_DIGIT), F.coalesce(*again))
+    again = [F.when(value.rlike(ISO_DATE), value.try_cast(NTZ)), parse_written(value), *[_parse_layout(value, f) for f in formats]]
+    iso = F.when(text.rlike(ISO_DATE), text.try_cast(NTZ))
+    return F.coalesce(iso, F.when(text.rlike(HAS_DIGIT), F.coalesce(*again)))
 
 
 def within_clock(value: Column) -> Column:

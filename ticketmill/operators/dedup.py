@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ticketmill.functions.text import digest
 from ticketmill.operators.lookup import same_key
 
+#: Bits of the filter of repeated keys: 16 MiB.
+FILTER_BITS = 1 << 27
+
 
 def keep_latest(df: DataFrame, keys: Sequence[str], newest: str, tie: Sequence[str]) -> DataFrame:
     """The newest row of each key; equal times keep the smallest tie values. Null keys are equal.
@@ -57,6 +60,39 @@ def mark_superseded(
     return joined.select(*df.columns, (eligible & F.col("_newest").isNull()).alias(flag))
 
 
+def _filter_place(scope: Sequence[str], keys: Sequence[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*scope, *keys), F.lit(bits)) + 1
+
+
+def repeated_key_filter(df: DataFrame, scope: Sequence[str], keys: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
+    """A Bloom filter of the keys that occur more than once, as pages of 32,768 bits.
+
+    A key that occurs once may hit the place of another, one that repeats is always found. The filter has
+    `bits` bits however many rows there are, so it may be broadcast; in a table of more rows than bits it
+    finds most keys, and saves nothing.
+    """
+    place = F.col("_place")
+    repeated = df.select(_filter_place(scope, keys, bits).alias("_place")).groupBy("_place").agg(
+        F.count(F.lit(1)).alias("_rows")
+    ).where("_rows > 1")
+    return repeated.groupBy(F.bitmap_bucket_number(place).alias("_page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")
+    )
+
+
+def maybe_repeated(
+    df: DataFrame, pages: DataFrame, scope: Sequence[str], keys: Sequence[str], flag: str, bits: int = FILTER_BITS
+) -> DataFrame:
+    """Flag the rows whose key the filter holds."""
+    place = _filter_place(scope, keys, bits)
+    at = F.bitmap_bit_position(place).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, at.bitwiseAND(F.lit(7))) == 1, F.lit(False))
+    named = df.withColumn("_own_page", F.bitmap_bucket_number(place))
+    joined = named.join(F.broadcast(pages), F.col("_own_page") == F.col("_page"), "left")
+    return joined.select(*df.columns, hit.alias(flag))
+
+
 def drop_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose text key does not occur in the known table (null-safe), compared by digest."""
     key = digest(*[F.col(k) for k in keys])

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import math
+import zlib
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +37,7 @@ WORD = r"[\p{L}\p{N}']+"
 LARGEST_POLARITY = 10**6
 POLARITY = "decimal(13,6)"
 POLARITY_SUM = "decimal(28,6)"
+FACTOR = "decimal(9,4)"
 
 
 def build_prompt(text: Column, before: str = PROMPT_BEFORE_TEXT, after: str = PROMPT_AFTER_TEXT) -> Column:
@@ -70,26 +73,73 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def lexicon_polarity(text: Column, lexicon: Mapping[str, float]) -> Column:
+@dataclass(frozen=True)
+class Modifiers:
+    """Words that change the polarity of the `reach` words after them.
+
+    After a negation a polarity is multiplied by `negated`, after a strengthener by its factor; of
+    several strengtheners the nearest counts. Both may hold for one word.
+    """
+
+    negations: Sequence[str] = ()
+    strengtheners: Mapping[str, float] = field(default_factory=dict)
+    reach: int = 3
+    negated: float = -0.5
+
+
+def weighted_words(text: Column, modifiers: Modifiers | None = None) -> Column:
+    """The words of a text in order, each with the factor that the words before it give to its polarity."""
+    one = F.lit(1).cast(FACTOR)
+    if modifiers is None or not (modifiers.negations or modifiers.strengtheners):
+        return F.transform(words(text), lambda word: F.struct(word.alias("word"), one.alias("factor")))
+    negations = [w.lower() for w in modifiers.negations]
+    strength = {w.lower(): Decimal(str(f)) for w, f in modifiers.strengtheners.items()}
+
+    def factor(before: Column) -> Column:
+        found = one
+        if strength:
+            table = F.create_map(*[F.lit(x).cast(FACTOR) if k else F.lit(x) for pair in strength.items() for k, x in enumerate(pair)])
+            found = F.aggregate(before, one, lambda nearest, word: F.coalesce(F.try_element_at(table, word), nearest))
+        if negations:
+            turned = F.when(F.exists(before, lambda word: word.isin(negations)), F.lit(Decimal(str(modifiers.negated))))
+            found = (found * F.coalesce(turned.cast(FACTOR), one)).cast(FACTOR)
+        return found
+
+    def weigh(every: Column) -> Column:
+        return F.transform(every, lambda word, i: F.struct(word.alias("word"), factor(
+            F.slice(every, F.greatest(i - modifiers.reach, F.lit(0)) + 1, F.least(i, F.lit(modifiers.reach)))
+        ).alias("factor")))
+
+    # The words are bound to a variable, or the lambda would extract them again for each word.
+    return F.element_at(F.transform(F.array(words(text)), weigh), 1)
+
+
+def lexicon_polarity(text: Column, lexicon: Mapping[str, float], modifiers: Modifiers | None = None) -> Column:
     """Mean polarity of the words found in the lexicon, one place; 0.0 when none is.
 
-    The lexicon becomes one constant map, so the score is a plain expression: no shuffle, and usable on
-    streams. A look-up walks through the map, so a lexicon of many thousand words is faster as a table in
-    `score_by_lexicon`; the scores are the same. Case does not matter on either side. A polarity that is
-    no number below `LARGEST_POLARITY` is refused with its word.
+    The lexicon becomes one constant table, so the score is a plain expression: no shuffle, and usable on
+    streams. It is an array of small maps, and a word's CRC-32 tells its map, so a look-up costs the same in
+    a lexicon of any size. Case does not matter on either side; of twins in case the largest polarity
+    counts, as in `score_by_lexicon`. A polarity that is no number below `LARGEST_POLARITY` is refused with
+    its word. `modifiers` names words that turn or strengthen the polarity of the words after them.
     """
     entries: dict[str, Decimal] = {}
     for word, polarity in lexicon.items():
         if not math.isfinite(polarity) or abs(polarity) >= LARGEST_POLARITY:
             raise ValueError(f"polarity of {word!r} is {polarity}")
-        entries[word.lower()] = round(Decimal(str(polarity)), 6)
+        entries[word.lower()] = max(round(Decimal(str(polarity)), 6), entries.get(word.lower(), Decimal("-inf")))
     if not entries:
         return F.when(text.isNotNull(), F.lit(0.0)).otherwise(F.lit(0.0))
-    listed = json.dumps({word: str(polarity) for word, polarity in entries.items()}, ensure_ascii=False)
-    table = F.from_json(F.lit(listed), f"map<string,{POLARITY}>")
+    size = max(1, len(entries) // 2)
+    maps: list[dict[str, str]] = [{} for _ in range(size)]
+    for word, polarity in entries.items():
+        maps[zlib.crc32(word.encode()) % size][word] = str(polarity)
+    table = F.from_json(F.lit(json.dumps(maps, ensure_ascii=False)), f"array<map<string,{POLARITY}>>")
 
-    def found(word: Column) -> Column:
-        return F.try_element_at(table, word)
+    def found(weighted: Column) -> Column:
+        word = weighted["word"]
+        own = F.element_at(table, (F.crc32(word.cast("binary")) % size + 1).cast("int"))
+        return (F.try_element_at(own, word) * weighted["factor"]).cast(POLARITY)
 
     start = F.struct(F.lit(0).cast(POLARITY_SUM).alias("total"), F.lit(0).alias("hits"))
 
@@ -97,7 +147,7 @@ def lexicon_polarity(text: Column, lexicon: Mapping[str, float]) -> Column:
         total = (state["total"] + polarity).cast(POLARITY_SUM)
         return F.struct(total.alias("total"), (state["hits"] + 1).alias("hits"))
 
-    hits = F.filter(F.transform(words(text), found), lambda polarity: polarity.isNotNull())
+    hits = F.filter(F.transform(weighted_words(text, modifiers), found), lambda polarity: polarity.isNotNull())
     return F.coalesce(F.aggregate(hits, start, add, _mean), F.lit(0.0))
 
 
@@ -108,10 +158,13 @@ def _mean(state: Column) -> Column:
 
 
 def score_by_lexicon(
-    df: DataFrame, text: str, row_id: str, lexicon: DataFrame, output: str = "sentiment_score"
-) -> DataFrame:
+    df: DataFrame, text: str, row_id: str, lexicon: DataFrame, output: str = "sentiment_score",
+    modifiers: Modifiers | None = None, only: Column | None = None,
+) -> DataFrame:
     """The same score with the lexicon (`word`, `polarity`) as a table of any size.
 
+    Rows for which `only` does not hold are not read word by word; their score is 0.0.
+
     Words of one row sit in one partition, so with a lexicon that Spark broadcasts the partial
     aggregate leaves one small record per row before the shuffle; a larger lexicon is joined by
     shuffle, where adaptive execution splits a hot word. The score returns over the unique row id.
@@ -119,11 +172,13 @@ def score_by_lexicon(
     entries = reference_mapping(lexicon.withColumn("word", F.lower("word")), "word", "polarity").select(
         F.col("word").alias("_entry"), F.col("polarity").cast(POLARITY).alias("_polarity")
     )
-    tokens = df.select(row_id, F.explode(words(F.col(text))).alias("_word"))
+    wanted = df if only is None else df.where(only)
+    weighted = wanted.select(row_id, F.explode(weighted_words(F.col(text), modifiers)).alias("_weighted"))
+    tokens = weighted.select(row_id, F.col("_weighted.word").alias("_word"), F.col("_weighted.factor").alias("_factor"))
     scores = (
         tokens.join(entries, same_key(tokens, "_word", entries, "_entry"))
         .groupBy(row_id)
-        .agg(F.sum("_polarity").cast(POLARITY_SUM).alias("total"), F.count(F.lit(1)).alias("hits"))
+        .agg(F.sum((F.col("_polarity") * F.col("_factor")).cast(POLARITY)).cast(POLARITY_SUM).alias("total"), F.count(F.lit(1)).alias("hits"))
         .select(row_id, _mean(F.struct("total", "hits")).alias(output))
     )
     return df.join(scores, row_id, "left").select(*df.columns, F.coalesce(output, F.lit(0.0)).alias(output))
@@ -189,12 +244,19 @@ def enrichment_summary(
     local_source: str = LOCAL_SOURCE,
 ) -> DataFrame:
     """Rows enriched, how many by the model and by the local rules, the model's share in percent."""
-    by_model = F.count_if(F.col("analysis_source") == model_source)
+    return with_model_share(silver.groupBy(*by).agg(*enrichment_counts(model_source, local_source)))
+
+
+def enrichment_counts(model_source: str = MODEL_SOURCE, local_source: str = LOCAL_SOURCE) -> list[Column]:
+    """The counts of the summary as aggregates, which a write may observe as well."""
     total = F.count(F.lit(1))
-    return silver.groupBy(*by).agg(
+    return [
         total.alias("rows_read"),
         total.alias("rows_enriched"),
-        by_model.alias("gemini_enrichments"),
+        F.count_if(F.col("analysis_source") == model_source).alias("gemini_enrichments"),
         F.count_if(F.col("analysis_source") == local_source).alias("textblob_enrichments"),
-        percentage(by_model, total).alias("gemini_percentage"),
-    )
+    ]
+
+
+def with_model_share(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("gemini_percentage", percentage(F.col("gemini_enrichments"), F.col("rows_read")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketmill.functions.text import digest
@@ -26,6 +26,21 @@ def with_generated_key(df: DataFrame, column: str, start_after: int = 0) -> Data
     return df.withColumn(column, F.monotonically_increasing_id() + F.lit(start_after + 1))
 
 
+def with_dense_key(stored: DataFrame, column: str, start_after: int = 0) -> DataFrame:
+    """Number the rows of a table of Parquet files `start_after` + 1, + 2 and so on, without a gap.
+
+    A row's number is how many rows the files before its own have, plus its place in its file: one row
+    for each file is counted and summed, and no row is moved. Reading the files in other splits
+    gives the same numbers. `stored` must be the table as it is read, with its `_metadata`.
+    """
+    placed = stored.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col("_row") + F.lit(start_after + 1)
+    return placed.join(starts, "_file").withColumn(column, number).drop("_file", "_row", "_before")
+
+
 def content_key(*columns: Column) -> Column:
     """A key that follows from the content, so a rerun gives the same row the same key.
 
@@ -35,12 +50,13 @@ def content_key(*columns: Column) -> Column:
 
 
 def prepare_fact(
-    silver: DataFrame, regions: DataFrame, categories: DataFrame, ingested_at: datetime | str | Column | None = None
-) -> DataFrame:
+    silver: DataFrame, regions: DataFrame, categories: DataFrame, ingested_at: datetime | str | Column | None = None,
+    key: str | None = None,
+) -> DataFrame:
     """Fact columns in their fixed order, names replaced by keys; unknown names give null keys.
 
     The run id stays where there is one (it partitions the stored table), and `ingestion_date` is
-    the given load time or the one a row already has.
+    the given load time or the one a row already has. `key` names a column of generated keys to keep.
     """
     keyed = lookup_value(silver, "region", regions, "region_name", "region_id")
     keyed = lookup_value(keyed, "category", categories, "category_name", "category_id")
@@ -52,7 +68,7 @@ def prepare_fact(
     )
     if ingested_at is not None:
         keyed = with_defaults(keyed, {"ingestion_date": ntz(ingested_at)})
-    extra = [name for name in ("ingestion_date", EXECUTION_ID) if name in keyed.columns]
+    extra = [name for name in ("ingestion_date", key, EXECUTION_ID) if name in keyed.columns]
     return keyed.select(*FACT_COLUMNS, *extra)
 
 

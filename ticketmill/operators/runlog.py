@@ -6,7 +6,7 @@ nothing that `run_state` returns.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +57,22 @@ def metrics_json(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns))
 
 
+def metric(name: str, kind: str) -> Column:
+    """A metric out of the stored JSON of a run; null where the run has none, or one of another kind.
+
+    The JSON is read as a variant, so a metric that is new needs no schema.
+    """
+    return F.try_variant_get(F.try_parse_json("metrics"), f"$.{name}", kind)
+
+
+def metrics_over_runs(runs: DataFrame, kinds: Mapping[str, str], by: Sequence[str] = ("stage_id",)) -> DataFrame:
+    """Sums of any numeric metrics of successful runs, with how many runs have them."""
+    read = runs.where(F.col("run_status") == SUCCESS).select(*by, *[metric(n, kind).alias(n) for n, kind in kinds.items()])
+    return read.groupBy(*by).agg(
+        *[F.count(name).alias(f"{name}_runs") for name in kinds], *[F.sum(name).alias(name) for name in kinds]
+    )
+
+
 def run_state(events: DataFrame) -> DataFrame:
     """One row per run: its start, and the last thing that happened to it."""
     ended = F.col("run_status") != STARTED

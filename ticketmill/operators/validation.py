@@ -27,7 +27,7 @@ from ticketmill.fixed_values import (
 from ticketmill.functions.numeric import percentage
 from ticketmill.functions.text import digest, is_blank, is_email
 from ticketmill.functions.timestamps import ntz, parse_timestamp, within_clock
-from ticketmill.operators.dedup import keep_latest, mark_superseded
+from ticketmill.operators.dedup import FILTER_BITS, keep_latest, mark_superseded, maybe_repeated, repeated_key_filter
 from ticketmill.operators.lookup import flag_members
 from ticketmill.operators.rules import FAILED_RULES, REASON, Rule, apply_rules
 from ticketmill.schemas import EXECUTION_ID, ROW_ID
@@ -144,6 +144,26 @@ def judge_tickets(checked: DataFrame) -> DataFrame:
     ).drop("_superseded")
 
 
+def judge_tickets_by_filter(
+    bronze: DataFrame,
+    regions: DataFrame,
+    as_of: datetime | str | Column,
+    filter_bits: int = FILTER_BITS,
+    more_rules: Sequence[Rule] = (),
+) -> DataFrame:
+    """The same as `judge_tickets` of the checked rows, for tables with few copies.
+
+    A first pass over the two key columns builds a filter of the keys that occur more than once. Rows whose
+    key it does not hold have their verdict from the rules alone and are never shuffled; the others meet their
+    copies as in `judge_tickets`.
+    """
+    pages = repeated_key_filter(bronze, _scope(bronze), DUPLICATE_KEY, filter_bits)
+    flagged = maybe_repeated(bronze, pages, _scope(bronze), DUPLICATE_KEY, "_maybe", filter_bits)
+    alone = check_tickets(flagged.where(~F.col("_maybe")).drop("_maybe"), regions, as_of, more_rules=more_rules)
+    several = check_tickets(flagged.where(F.col("_maybe")).drop("_maybe"), regions, as_of, more_rules=more_rules)
+    return alone.unionByName(judge_tickets(several))
+
+
 def split_judged(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(validated, quarantine) of a judged table; store the judged table first when both are written."""
     return typed_layout(judged.where(passed())), raw_layout(judged.where(~passed()))

@@ -11,20 +11,23 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketmill import schemas
 from ticketmill.fixed_values import FACT_TABLE, REQUIRED_COLUMNS
 from ticketmill.operators import load, runlog, validation
-from ticketmill.operators.constraints import fact_rules, max_length_rules, require_rules
-from ticketmill.operators.enrichment import enrich_tickets, enrichment_summary, lexicon_polarity, score_by_lexicon
+from ticketmill.functions.numeric import percentage
+from ticketmill.operators.constraints import fact_rules, max_length_rules
+from ticketmill.operators.enrichment import (
+    Modifiers, enrich_tickets, enrichment_counts, lexicon_polarity, score_by_lexicon, with_model_share,
+)
 from ticketmill.operators.lookup import lookup_stage_ids
-from ticketmill.operators.rules import Rule
-from ticketmill.operators.scoring import score_tickets
-from ticketmill.schemas import EXECUTION_ID, ROW_ID, RUN_EVENTS
-from ticketmill.sources import layers, reference_data
+from ticketmill.operators.rules import FAILED_RULES, REASON, Rule, apply_rules
+from ticketmill.operators.scoring import score_tickets, score_tickets_from_store
+from ticketmill.schemas import EXECUTION_ID, ROW_ID, RUN_EVENTS, TICKET_ID
+from ticketmill.sources import files, layers, reference_data
 
 OUTCOME, VALID, QUARANTINED = "outcome", "valid", "quarantined"
 PIPELINE = "AI_SUPPORT"
@@ -49,15 +52,22 @@ def judge(
     root: str,
     run: str,
     limits: Mapping[str, int] | None = None,
-) -> None:
+) -> dict[str, int]:
     """Judge landed rows; valid and quarantined rows become the two partitions of one table, in one job.
 
-    A row with more bytes in a raw column than `limits` allows is quarantined, with the reason.
+    A row with more bytes in a raw column than `limits` allows is quarantined, with the reason. Returns the
+    counts of rows read, valid and quarantined, which the job takes while it writes.
     """
     too_long = max_length_rules({c: n for c, n in (limits or {}).items() if c in REQUIRED_COLUMNS})
     judged = validation.judge_tickets(validation.check_tickets(bronze, regions, as_of, more_rules=too_long))
     outcome = F.when(validation.passed(), VALID).otherwise(QUARANTINED)
-    layers.write_run(judged.withColumn(OUTCOME, outcome), f"{root}/judged", run, partition_by=[OUTCOME])
+    counts = Observation()
+    observed = judged.withColumn(OUTCOME, outcome).observe(
+        counts, F.count(F.lit(1)).alias("rows_read"), F.count_if(validation.passed()).alias("rows_valid"),
+        F.count_if(~validation.passed()).alias("rows_quarantined"),
+    )
+    layers.write_run(observed, f"{root}/judged", run, partition_by=[OUTCOME])
+    return counts.get
 
 
 def _read_outcome(spark: SparkSession, root: str, outcome: str, run: str | None) -> DataFrame:
@@ -115,6 +125,10 @@ def logged_stage(
         raise
 
 
+def _one_row(spark: SparkSession, values: Mapping[str, object]) -> DataFrame:
+    return spark.range(1).select(*[F.lit(value).alias(name) for name, value in values.items()])
+
+
 def land_run(spark: SparkSession, raw: DataFrame, root: str, run: str) -> None:
     """Raw rows of one run, from whatever source, into the bronze layer."""
 
@@ -137,8 +151,11 @@ def validate_run(
     def work() -> DataFrame:
         bronze = layers.read_layer(spark, f"{root}/bronze", run)
         validation.require_rows(validation.require_columns(bronze))
-        judge(bronze, reference_data.dim_regions(spark), F.localtimestamp() if as_of is None else as_of, root, run, limits)
-        summary = validation.summarize_judged(layers.read_layer(spark, f"{root}/judged", run))
+        counts = judge(
+            bronze, reference_data.dim_regions(spark), F.localtimestamp() if as_of is None else as_of, root, run, limits
+        )
+        rate = percentage(F.col("rows_valid"), F.col("rows_read")).alias("validation_pass_rate")
+        summary = _one_row(spark, counts).select("*", rate)
         name = F.lit(f"{run}/")
         return summary.withColumns(
             {
@@ -159,17 +176,26 @@ def enrich_run(
     lexicon: Mapping[str, float] | DataFrame,
     score: Callable[[str], str | None] | None = None,
     parallel_callers: int | None = None,
+    modifiers: Modifiers | None = None,
+    score_batch: Callable[[Sequence[str]], Sequence[str | None]] | None = None,
     **scoring: object,
 ) -> None:
     """Silver rows of one run. Model replies are stored before use, so no later step repeats a call.
 
     The lexicon is a dictionary or a table (`word`, `polarity`) of any size. Retries and delay come
-    from the configuration table unless given.
+    from the configuration table unless given. With `score_batch` instead of `score`, prompts go to the model in
+    batches, and the store of replies below `root` serves all runs: a run that is repeated after a failure, and a
+    text that came before, call the model only for what has no reply yet.
     """
 
     def work() -> DataFrame:
         valid = read_validated(spark, root, run)
-        if score is None:
+        if score_batch is not None:
+            config = reference_data.configuration(spark)
+            retries = int(reference_data.config_value(config, "MAX_RETRIES"))
+            options = {"max_retries": retries, "parallel_callers": parallel_callers, **scoring}
+            replied = score_tickets_from_store(valid, score_batch, f"{root}/reply_store", **options)
+        elif score is None:
             replied = valid.withColumn("model_reply", F.lit(None).cast("string"))
         else:
             config = reference_data.configuration(spark)
@@ -182,14 +208,17 @@ def enrich_run(
             layers.write_run(scored, f"{root}/replies", run)
             replied = layers.read_layer(spark, f"{root}/replies", run, _with_run(scored.schema))
         if isinstance(lexicon, DataFrame):
-            replied = score_by_lexicon(replied, "customer_text", ROW_ID, lexicon, "_local_score")
+            replied = score_by_lexicon(
+                replied, "customer_text", ROW_ID, lexicon, "_local_score", modifiers, F.col("model_reply").isNull()
+            )
             local_score = F.col("_local_score")
         else:
-            local_score = lexicon_polarity(F.col("customer_text"), lexicon)
+            local_score = lexicon_polarity(F.col("customer_text"), lexicon, modifiers)
         silver = enrich_tickets(replied, reference_data.dim_categories(spark), local_score)
-        layers.write_run(silver.drop("_local_score"), f"{root}/silver", run)
-        stored = layers.read_layer(spark, f"{root}/silver", run)
-        return enrichment_summary(stored).withColumn(
+        counts = Observation()
+        observed = silver.drop("_local_score").observe(counts, *enrichment_counts())
+        layers.write_run(observed, f"{root}/silver", run)
+        return with_model_share(_one_row(spark, counts.get)).withColumn(
             "output_file", F.when(F.col("rows_enriched") > 0, F.lit(run)).otherwise("")
         )
 
@@ -203,32 +232,41 @@ def load_run(
     ingested_at: datetime | str | Column | None = None,
     rules: Sequence[Rule] | None = None,
 ) -> None:
-    """Fact rows of one run, replacing an earlier load of it. Keys continue after the largest one stored by
-    the other runs, whether those loads were logged or not; one load at a time may run.
+    """Fact rows of one run, replacing an earlier load of it. Keys have no gaps within a load and continue
+    after the largest one stored by the other runs, whether those loads were logged or not; one load at
+    a time may run.
 
-    A row that breaks one of `rules` (the constraints of the fact table, `fact_rules()`, unless given) fails
-    the load before anything is written; give `validate_run` the limits, and no such row comes here.
+    The rows are checked and counted while they are written beside the table, and take the run's place
+    when all are in order. A row that breaks one of `rules` (the constraints of the fact table, `fact_rules()`,
+    unless given) fails the load and nothing changes; give `validate_run` the limits, and no such row comes here.
     """
 
     def work() -> DataFrame:
+        path = f"{root}/{FACT_TABLE}"
+        last = 0
+        if layers.exists(spark, path):
+            others = layers.read_layer(spark, path, schema=schemas.FACT).where(F.col(EXECUTION_ID) != run)
+            last = others.agg(F.max(TICKET_ID)).first()[0] or 0
         fact = load.prepare_fact(
-            layers.read_layer(spark, f"{root}/silver", run),
+            load.with_dense_key(layers.read_layer(spark, f"{root}/silver", run), TICKET_ID, last),
             reference_data.dim_regions(spark),
             reference_data.dim_categories(spark),
             F.localtimestamp() if ingested_at is None else ingested_at,
+            key=TICKET_ID,
         )
-        require_rules(fact, fact_rules() if rules is None else rules)
-        last = 0
-        if layers.exists(spark, f"{root}/{FACT_TABLE}"):
-            others = layers.read_layer(spark, f"{root}/{FACT_TABLE}", schema=schemas.FACT).where(F.col(EXECUTION_ID) != run)
-            last = others.agg(F.max("ticket_id")).first()[0] or 0
-        keyed = load.with_generated_key(fact, "ticket_id", start_after=last)
-        layers.write_run(keyed, f"{root}/{FACT_TABLE}", run)
-        return layers.read_layer(spark, f"{root}/{FACT_TABLE}", run, schemas.FACT).agg(
-            F.count(F.lit(1)).alias("rows_loaded"),
-            F.lit(FACT_TABLE).alias("target_table"),
-            F.max("ticket_id").alias("last_ticket_id"),
-        )
+        counts, broken = Observation(), F.when(F.col(REASON) != "", F.col(REASON))
+        judged = apply_rules(fact, fact_rules() if rules is None else rules).observe(
+            counts, F.count(F.lit(1)).alias("rows_loaded"), F.lit(FACT_TABLE).alias("target_table"),
+            F.max(TICKET_ID).alias("last_ticket_id"), F.count(broken).alias("rows_broken"), F.min(broken).alias("reason"),
+        )
+        staged = layers.stage_run(judged.drop(REASON, FAILED_RULES), path)
+        found = counts.get
+        if found.pop("rows_broken"):
+            files.delete(spark, staged)
+            raise ValueError(f"constraint violated: {found['reason']}")
+        found.pop("reason")
+        layers.publish_run(spark, staged, path, run)
+        return _one_row(spark, found)
 
     logged_stage(spark, root, run, "Load to Lakehouse", work)
 

@@ -8,6 +8,7 @@ from ticketmill.fixed_values import REQUIRED_COLUMNS
 
 ROW_ID = "_row_id"
 EXECUTION_ID = "execution_id"
+TICKET_ID = "ticket_id"
 
 
 def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
@@ -40,7 +41,7 @@ FACT = _struct(
     ("region_id", T.IntegerType(), True),
     ("category_id", T.IntegerType(), True),
     ("ingestion_date", T.TimestampNTZType(), True),
-    ("ticket_id", T.LongType(), False),
+    (TICKET_ID, T.LongType(), False),
     (EXECUTION_ID, T.StringType(), False),
 )
 

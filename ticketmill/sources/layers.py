@@ -8,9 +8,10 @@ partition, and rerunning it replaces that partition alone.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +20,12 @@ from ticketmill.functions.text import null_missing
 from ticketmill.operators.dedup import drop_known
 from ticketmill.operators.validation import require_columns
 from ticketmill.schemas import EXECUTION_ID, ROW_ID
+from ticketmill.sources import files
+from ticketmill.sources.files import exists
 
 RUN_IN_FILE_NAME = r"(\d{8}_\d{6})"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+SOURCE_FILE, SOURCE_BLOCK, SOURCE_PLACE = "_source_file", "_source_block", "_source_place"
 ESCAPED_IN_PATHS = r"""[\x01-\x1f"#%'*/:=?\\{\[\]^\x7f]"""
 
 
@@ -58,6 +63,30 @@ def with_row_ids(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
+def with_source_place(df: DataFrame) -> DataFrame:
+    """Add where each row of a table of files stands: its file, the block of it that one task reads, and a
+    number that rises by one from row to row of a block. Store the result, then `numbered_in_source_order`."""
+    return df.select(
+        "*", F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_block_start").alias(SOURCE_BLOCK),
+        F.monotonically_increasing_id().alias(SOURCE_PLACE),
+    )
+
+
+def numbered_in_source_order(placed: DataFrame, column: str = ROW_ID, start_after: int = 0) -> DataFrame:
+    """Number stored rows with their place from `start_after` + 1 on, without gaps, as they stood in the source:
+    files by name, then blocks, then rows.
+
+    A row's number is the rows of all blocks before its own, plus its place in the block. Only one row for each block
+    is sorted; the rows themselves are not moved.
+    """
+    block = [SOURCE_FILE, SOURCE_BLOCK]
+    blocks = placed.groupBy(*block).agg(F.count(F.lit(1)).alias("_rows"), F.min(SOURCE_PLACE).alias("_first"))
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(*block, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col(SOURCE_PLACE) - F.col("_first") + F.lit(start_after + 1)
+    return placed.join(starts, block).withColumn(column, number).drop(*block, SOURCE_PLACE, "_first", "_before")
+
+
 def in_source_order(df: DataFrame) -> DataFrame:
     """Sorted as the source was, for a sink that asks for it; no operator depends on the order."""
     return df.orderBy(ROW_ID)
@@ -76,21 +105,32 @@ def run_path(path: str, run: str) -> str:
     return f"{path}/{EXECUTION_ID}={escaped}"
 
 
+def stage_run(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Write the rows of a run beside the table, where no reader looks; returns the folder.
+
+    Without rows there is a file nevertheless, so that the columns can be read.
+    """
+    staged = f"{path.rstrip('/').rpartition('/')[0]}/_staged-{uuid.uuid4().hex}"
+    own = df.drop(EXECUTION_ID)
+    own.write.partitionBy(*partition_by).parquet(staged)
+    if partition_by and not any("=" in name for name in files.names(df.sparkSession, staged)):
+        nowhere = "/".join(f"{column}={NO_VALUE}" for column in partition_by)
+        own.limit(0).drop(*partition_by).write.parquet(f"{staged}/{nowhere}")
+    return staged
+
+
+def publish_run(spark: SparkSession, staged: str, path: str, run: str) -> None:
+    """Let a staged folder take the place of the run's folder, whatever that held."""
+    files.replace(spark, staged, run_path(path, run), f"{path}/_replaced-{uuid.uuid4().hex}")
+
+
 def write_run(df: DataFrame, path: str, run: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace one run's partition, also when the run has no rows left. Safe to repeat.
+    """Replace one run's folder as a whole, also when the run, or one of its sub-partitions, has no rows left.
 
-    The new files take the place of the old ones when the job commits, so a write that fails leaves
-    the stored run readable. Only a run without rows is overwritten in place.
+    Safe to repeat. The new folder takes the place of the old one when it is complete, so a write that
+    fails leaves the stored run readable.
     """
-    rows = Observation()
-    own = df.drop(EXECUTION_ID).observe(rows, F.count(F.lit(1)).alias("rows")).withColumn(EXECUTION_ID, F.lit(run))
-    own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        EXECUTION_ID, *partition_by
-    ).parquet(path)
-    if not rows.get["rows"]:
-        df.drop(EXECUTION_ID).limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            *partition_by
-        ).parquet(run_path(path, run))
+    publish_run(df.sparkSession, stage_run(df, path, partition_by), path, run)
 
 
 def write_runs(df: DataFrame, path: str) -> None:
@@ -118,11 +158,6 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     append_runs(drop_known(offered, read_layer(df.sparkSession, path), keys) if exists(df.sparkSession, path) else offered, path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def read_layer(
     spark: SparkSession, path: str, run: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:

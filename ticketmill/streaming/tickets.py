@@ -7,7 +7,7 @@ leaves the same tables.
 
 from __future__ import annotations
 
-import hashlib
+import json
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
@@ -22,11 +22,13 @@ from ticketmill.fixed_values import DUPLICATE_KEY, NA_TOKENS
 from ticketmill.functions.text import null_missing
 from ticketmill.functions.timestamps import hour_label, ntz, parse_timestamp, to_event_time
 from ticketmill.operators.dedup import drop_known, keep_latest
-from ticketmill.plans.batch import judge, land
+from ticketmill.plans.batch import judge, land, read_validated
 from ticketmill.schemas import BRONZE, EXECUTION_ID, ROW_ID
-from ticketmill.sources import layers
+from ticketmill.sources import files, layers, versions
 
 EVENT_TIME = "_event_time"
+#: New rows of a bucket are merged with older ones when they are half as many.
+MERGE_AT = 0.5
 
 
 def read_stream(
@@ -50,10 +52,14 @@ def read_stream(
     return null_missing(reader.load(path), na_tokens)
 
 
-def run_of_batch(batch: int, checkpoint: str) -> str:
-    """Run id of a batch: its number, and which stream it belongs to. A stream is known by its checkpoint,
-    so streams into one root, or a stream that begins anew, never replace each other's batches."""
-    return f"b{hashlib.sha256(checkpoint.encode()).hexdigest()[:8]}_{batch:010d}"
+def run_of_batch(spark: SparkSession, batch: int, checkpoint: str) -> str:
+    """Run id of a batch: its number, and the id its stream got when its checkpoint began.
+
+    A stream that begins anew, also in the same folder, has another id, so streams into one root never
+    replace each other's batches, while a batch that is repeated after a crash replaces itself.
+    """
+    stream = json.loads(files.read_text(spark, f"{checkpoint}/metadata"))["id"]
+    return f"b{stream.replace('-', '')[:16]}_{batch:010d}"
 
 
 def ingest(
@@ -63,17 +69,21 @@ def ingest(
     root: str,
     checkpoint: str | None = None,
     limits: Mapping[str, int] | None = None,
+    keep_current: bool = False,
 ) -> StreamingQuery:
     """Check every new batch and store it below `root`. `as_of` may be F.localtimestamp().
 
-    Rows over `limits` (bytes by column) are quarantined, as in `batch.validate_run`.
+    Rows over `limits` (bytes by column) are quarantined, as in `batch.validate_run`. With `keep_current`, a
+    table of the newest copy of each ticket is kept as well, see `read_current`.
     """
 
     checkpoint = checkpoint or f"{root}/_checkpoint"
 
     def handle(batch: DataFrame, number: int) -> None:
-        run = run_of_batch(number, checkpoint)
+        run = run_of_batch(batch.sparkSession, number, checkpoint)
         judge(land(batch, root, run), regions, as_of, root, run, limits)
+        if keep_current:
+            _load_current(read_validated(batch.sparkSession, root, run), root)
 
     return (
         stream.writeStream.foreachBatch(handle)
@@ -84,14 +94,30 @@ def ingest(
 
 
 def current_tickets(validated: DataFrame, tie: Sequence[str] = (EXECUTION_ID, ROW_ID)) -> DataFrame:
-    """The newest copy of each ticket over all stored batches.
+    """The newest copy of each ticket over all stored batches, chosen from the whole history.
 
-    Batches only ever append; the choice is made when reading, so no batch rewrites the history.
-    Store the result now and then if reading it becomes the cost.
+    `read_current` reads the same from a table that `ingest` keeps, without going over the history.
     """
     return keep_latest(validated, DUPLICATE_KEY, newest="created_at", tie=tie)
 
 
+def _load_current(validated: DataFrame, root: str) -> None:
+    """Load a batch into the table of newest copies. Of equally new ones the smallest in all columns stays,
+    so the order in which files arrive has no say; what a batch rewrites follows the batch."""
+    tie = [ROW_ID, *[c for c in validated.columns if c not in (*DUPLICATE_KEY, "created_at", ROW_ID, EXECUTION_ID)]]
+    versions.upsert(
+        validated.drop(EXECUTION_ID), f"{root}/current", DUPLICATE_KEY, "created_at", tie, merge_at=MERGE_AT
+    )
+
+
+def read_current(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The newest copy of each ticket over all batches, or over those up to an older version.
+
+    Buckets of the key that a batch has just added to are merged in reading, all others are read as they are.
+    """
+    return versions.read(spark, f"{root}/current", version)
+
+
 def first_copies(stream: DataFrame, delay: str, key: Sequence[str] = tuple(DUPLICATE_KEY)) -> DataFrame:
     """Keep-first within the watermark, for consumers that cannot wait; state is bounded by the delay.
 
@@ -110,7 +136,7 @@ def run_first_copies(stream: DataFrame, root: str, key: Sequence[str] = tuple(DU
     path = f"{root}/first"
 
     def handle(batch: DataFrame, number: int) -> None:
-        run, offered = run_of_batch(number, f"{root}/_checkpoint"), batch.dropDuplicates(list(key)).drop(EVENT_TIME)
+        run, offered = run_of_batch(batch.sparkSession, number, f"{root}/_checkpoint"), batch.dropDuplicates(list(key)).drop(EVENT_TIME)
         if layers.exists(batch.sparkSession, path):
             stored = layers.read_layer(batch.sparkSession, path).where(F.col(EXECUTION_ID) != run)
             offered = drop_known(offered, stored, key)
@@ -149,7 +175,7 @@ def run_hourly_trend(stream: DataFrame, root: str) -> DataFrame:
     def handle(batch: DataFrame, number: int) -> None:
         hour = hour_label(F.col("created_at")).alias("created_date")
         counts = batch.groupBy(hour).agg(F.count(F.lit(1)).alias("ticket_count"))
-        layers.write_run(counts, f"{root}/trend", run_of_batch(number, f"{root}/_checkpoint"))
+        layers.write_run(counts, f"{root}/trend", run_of_batch(batch.sparkSession, number, f"{root}/_checkpoint"))
 
     _run(stream.writeStream, handle, root)
     return _stored_trend(stream.sparkSession, root).agg(F.sum("ticket_count").alias("ticket_count"))

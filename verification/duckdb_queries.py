@@ -346,8 +346,7 @@ WHERE o_custkey IN (SELECT c_custkey FROM customer) GROUP BY 1""",
     ),
     "keyword_category": with_ctes(
         TICKETS,
-        f"""SELECT _row_id, {keywords("customer_text", TICKET_RULES, "Feedback")} AS category FROM tickets
-WHERE customer_text IS NOT NULL""",
+        f"""SELECT _row_id, {keywords("customer_text", TICKET_RULES, "Feedback")} AS category FROM tickets""",
     ),
     "keyword_category_documents": f"SELECT doc_id, {keywords('text', DOCUMENT_RULES, 'Other')} AS category FROM documents",
     "lexicon_sentiment": with_ctes(
@@ -498,8 +497,7 @@ FROM (SELECT *, {RUN_OF_FACT} AS execution_id FROM fact) WHERE execution_id <> '
         f"""SELECT * REPLACE (CASE WHEN region_id <= 2 THEN 0.0 ELSE sentiment_score END AS sentiment_score),
   {RUN_OF_FACT} AS execution_id FROM fact""",
     ),
-    "append_known_keys": """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (
-  SELECT c_custkey FROM customer WHERE contains(c_mktsegment, 'BUILD') OR contains(c_mktsegment, 'AUTO'))""",
+    "append_known_keys": "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey * 2 NOT IN (SELECT c_custkey FROM customer)",
     "run_from_raw_to_gold": with_ctes(
         SCORED + f",\nsilver AS ({silver('scored', 'model_reply')})" + TO_GOLD, SEVERITY_REPORT
     ),

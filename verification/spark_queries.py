@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.fixed_values import FACT_LENGTHS, RUN_STATUSES
-from ticketmill.functions.text import contains_any
 from ticketmill.functions.tickets import unanswered_risk
 from ticketmill.operators import constraints, load, reports, runlog, validation
 from ticketmill.operators.enrichment import (
@@ -192,8 +191,7 @@ def parse_model_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = tickets_raw(spark, sf_dir).where(F.col("customer_text").isNotNull())
-    return with_keyword_category(texts).select(ROW_ID, "category")
+    return with_keyword_category(tickets_raw(spark, sf_dir)).select(ROW_ID, "category")
 
 
 def keyword_categories_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -419,9 +417,9 @@ def insert_only_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_known_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of customers that the customer table does not know, by a text key."""
-    orders = table(spark, sf_dir, "orders").withColumn("customer", F.col("o_custkey").cast("string"))
-    known = table(spark, sf_dir, "customer").where(contains_any(F.col("c_mktsegment"), ["BUILD", "AUTO"]))
+    """Orders under a doubled customer key that the customer table does not know, by a text key."""
+    orders = table(spark, sf_dir, "orders").withColumn("customer", (F.col("o_custkey") * 2).cast("string"))
+    known = table(spark, sf_dir, "customer")
     unknown = drop_known(orders, known.select(F.col("c_custkey").cast("string").alias("customer")), ["customer"])
     return unknown.select("o_orderkey", "o_custkey")
 
