@@ -12,7 +12,7 @@ from ticketmill.schemas import BRONZE, ROW_ID  # noqa: E402
 from ticketmill.sources import reference_data  # noqa: E402
 
 AS_OF = "2026-06-10 00:00:00"
-GOOD = ("alice_1@gmail.com", "2026-06-01 10:00:00", "How do I reset it?", "JP-TOKYO", None)
+GOOD = ("alice_1@example.org", "2026-06-01 10:00:00", "How do I reset it?", "JP-TOKYO", None)
 
 
 @pytest.fixture(scope="session")

@@ -22,7 +22,7 @@ def rows():
         ticket(email_address="a@b.c", customer_text="it is down"),
         ticket(email_address="a@b.c", customer_text="it is down", created_at="2026-06-02 08:00:00"),
         ticket(email_address="b@b.c", customer_text="thanks a lot", first_response_at="2026-06-01 11:30:00"),
-        ticket(region="MARS-1"),
+        ticket(region="XX-NOWHERE"),
     ]
 
 
@@ -43,7 +43,7 @@ def test_run_and_rerun(spark, bronze, tmp_path):
         ("P4-LOW", 1, 1, 0, 1.5),
     ]
     reasons = {r.failure_reason for r in batch.read_quarantine(spark, root).collect()}
-    assert reasons == {"Duplicate email and text", "Unrecognized region: MARS-1"}
+    assert reasons == {"Duplicate email and text", "Unrecognized region: XX-NOWHERE"}
 
     run(spark, bronze, root, "20260603_211114")
     fact = layers.read_layer(spark, f"{root}/support_tickets")

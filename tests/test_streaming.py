@@ -36,7 +36,7 @@ def test_new_files_only_and_keep_latest_over_batches(spark, regions, tmp_path):
     validated = batch.read_validated(spark, root)
     assert validated.count() == 4 and validated.select(EXECUTION_ID).distinct().count() == 3
     current = {r.email_address: str(r.created_at) for r in streams.current_tickets(validated).collect()}
-    assert current == {"alice_1@gmail.com": "2026-06-03 00:00:00", "b@b.c": "2026-06-01 10:00:00"}
+    assert current == {"alice_1@example.org": "2026-06-03 00:00:00", "b@b.c": "2026-06-01 10:00:00"}
     reasons = sorted(r.failure_reason for r in batch.read_quarantine(spark, root).collect())
     assert reasons == ["Duplicate email and text", "customer_text is NULL or blank"]
 

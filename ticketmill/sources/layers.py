@@ -39,15 +39,23 @@ def csv_columns(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType(), True) for name in names])
 
 
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """Does a quoted text go on in the next line? Then some line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
 def read_bronze_csv(
-    spark: SparkSession, path: str, multi_line: bool = True, na_tokens: Sequence[str] = NA_TOKENS
+    spark: SparkSession, path: str, multi_line: bool | None = None, na_tokens: Sequence[str] = NA_TOKENS
 ) -> DataFrame:
     """Raw ticket files as text columns, bound by header name, missing-value tokens as null.
 
-    Files whose header differs from the first one are refused. `multi_line` allows line breaks
-    inside quoted text but makes a file one task; switch it off for large files without them.
+    Files whose header differs from the first one are refused. `multi_line` allows line breaks inside
+    quoted text but makes a file one task; unless given, the files are looked through for such texts,
+    so that files without them are read in as many tasks as they have blocks.
     """
     schema = csv_columns(spark, path)
+    multi_line = has_broken_lines(spark, path) if multi_line is None else multi_line
     raw = spark.read.options(**_csv_options(multi_line)).schema(schema).csv(path)
     return null_missing(require_columns(raw), na_tokens)
 

@@ -15,11 +15,11 @@ from ticketmill.schemas import ROW_ID
 
 AS_OF = "2024-02-01 00:00:00"
 TEXTS = [
-    "I was double charged, when will I get my refund?",
-    "Excellent service! Appreciate it!",
-    "My account was disabled after multiple attempts.",
-    "How do I reset my Admin password?",
-    "Our system is down, it keeps crashing!",
+    "You charged my card two times, please refund one of them.",
+    "Excellent answer, and quick too: I appreciate that.",
+    "Three wrong tries and my account is disabled.",
+    "How do I change the password of a colleague?",
+    "The site is down again and keeps crashing.",
 ]
 REGIONS = ["CA-TORONTO", "AU-SYDNEY", "UK-LONDON", "SG-CENTRAL", "JP-TOKYO"]
 REPLY_CATEGORIES = ["Technical", "Billing", "Account", "Feedback", "How-To Question"]
@@ -44,10 +44,10 @@ def tickets(events: DataFrame) -> DataFrame:
     return events.select(
         i.alias(ROW_ID),
         F.when(i % 50 == 1, None)
-        .when(i % 50 == 2, "invalid-email")
-        .when(i % 50 == 3, "@gmail.com")
+        .when(i % 50 == 2, "no-at-sign")
+        .when(i % 50 == 3, "@example.org")
         .when(i % 50 == 4, "   ")
-        .otherwise(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@news70.hotmail.com")))
+        .otherwise(F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@mail.example.org")))
         .alias("email_address"),
         F.when(i % 60 == 5, None)
         .when(i % 60 == 6, "not-a-date")
@@ -60,7 +60,7 @@ def tickets(events: DataFrame) -> DataFrame:
             F.concat(_choose(TEXTS, (F.col("user_id") + whole) % 5), F.lit(" Ref "), whole.cast("string"))
         )
         .alias("customer_text"),
-        F.when(i % 80 == 10, None).when(i % 80 == 11, "MARS-1").otherwise(_choose(REGIONS, i % 5)).alias("region"),
+        F.when(i % 80 == 10, None).when(i % 80 == 11, "XX-NOWHERE").otherwise(_choose(REGIONS, i % 5)).alias("region"),
         F.when(i % 5 == 0, None)
         .when(i % 90 == 12, second_label(ts - F.expr("interval 3 hours")))
         .when(i % 90 == 13, "later")

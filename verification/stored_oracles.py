@@ -36,7 +36,7 @@ SELECT * EXCLUDE (ingestion_date) REPLACE (
     "rerun_outcomes": with_ctes(
         CHECKED,
         """SELECT 'r1' AS execution_id, _row_id, 'valid' AS outcome FROM valid
-UNION ALL SELECT 'r2', _row_id, 'quarantined' FROM tickets WHERE region IS NULL OR region = 'MARS-1'""",
+UNION ALL SELECT 'r2', _row_id, 'quarantined' FROM tickets WHERE region IS NULL OR region = 'XX-NOWHERE'""",
     ),
     "stream_restarted": with_ctes(TICKETS, "SELECT * FROM tickets"),
     "stream_current_tickets": with_ctes(CHECKED, f"SELECT {VALID_COLUMNS} FROM valid"),
@@ -97,7 +97,7 @@ FROM (
   UNION ALL SELECT 4, 'rows_loaded', count(*) FROM valid
   UNION ALL SELECT 4, 'last_ticket_id', count(*) FROM valid) GROUP BY stage_id""",
     ),
-    "conditional_sink": with_ctes(TICKETS, "SELECT _row_id, region FROM tickets WHERE region IN ('UK-LONDON', 'MARS-1')"),
+    "conditional_sink": with_ctes(TICKETS, "SELECT _row_id, region FROM tickets WHERE region IN ('UK-LONDON', 'XX-NOWHERE')"),
     "input_checks": """SELECT 'whole' AS name, '' AS message, count(*) AS row_count FROM events
 UNION ALL SELECT 'documents', 'Missing required columns: [''email_address'', ''created_at'', ''customer_text'', ''region'', ''first_response_at'']',
   count(*) FROM documents

@@ -47,7 +47,7 @@ def upsert_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rerun_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over all tickets, each judged again on rows of one outcome: the other outcome is empty then."""
     root, raw = new_folder(spark, "lake"), base.tickets_raw(spark, sf_dir)
-    regions, unknown = reference_data.dim_regions(spark), F.coalesce(F.col("region") == "MARS-1", F.lit(True))
+    regions, unknown = reference_data.dim_regions(spark), F.coalesce(F.col("region") == "XX-NOWHERE", F.lit(True))
     valid = base.valid_tickets(spark, sf_dir).select(ROW_ID)
     for run, again in (("r1", raw.join(valid, ROW_ID, "left_semi")), ("r2", raw.where(unknown))):
         for rows in (raw, again):
@@ -200,7 +200,7 @@ def conditional_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, stored = new_folder(spark, "by_region"), new_folder(spark, "checked")
     checked.select(ROW_ID, "region").write.parquet(stored)
     rows, written = spark.read.parquet(stored), []
-    for region in ["UK-LONDON", "MARS-1", "NOT-A-REGION"]:
+    for region in ["UK-LONDON", "XX-NOWHERE", "NOT-A-REGION"]:
         own, folder = rows.where(F.col("region") == region), f"{path}/{region}"
         if layers.write_if_rows(own, lambda df, folder=folder: df.write.parquet(folder)):
             written.append(spark.read.schema(rows.schema).parquet(folder))
