@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketmill.llm import language_id, mixing, packing, quality_classifier, simhash
+from ticketmill.llm import language_id, mixing, packing, quality_classifier, simhash, tokens
 from ticketmill.llm.queries import labels
 from ticketmill.llm.tables import documents, small_batches, stored
 
@@ -35,7 +35,8 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), window=1024)
+    special = tokens.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), window=1024, special=special)
 
 
 STAGES = [

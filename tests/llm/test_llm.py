@@ -71,6 +71,134 @@ def test_sketches_give_back_all_differences():
     assert fingerprints.as_text(a)[2] == fingerprints.as_text(b)[2]
 
 
+def test_peeling_ends_at_a_cell_that_only_looks_pure():
+    """A cell whose check fits its key by chance, among its key's own cells or not."""
+    key = np.array([12345], np.uint64)
+    for spot in fingerprints._cells_of(key, np.zeros(1, np.int64), 24).ravel().tolist() + [0, 1, 2]:
+        table = np.zeros((2, 24), fingerprints.CELL)
+        table[0, spot] = (1, key[0], fingerprints._checks(key)[0])
+        good = np.array([7, 8, 9], np.uint64)
+        fingerprints._change(table, good, np.ones(3, np.int64), 1)
+        row, digests, _, empty = fingerprints.peel(table)
+        assert empty.tolist() == [False, True] and set(digests[row == 1].tolist()) == {7, 8, 9}
+
+
+def test_a_digest_that_a_text_holds_twice_is_compared_one_by_one():
+    twice = fingerprints.Elements(np.array([5, 5, 6], np.uint64), np.array([0, 3]))
+    once = fingerprints.Elements(np.array([6, 7], np.uint64), np.array([0, 2]))
+    at = np.zeros(1, np.int64)
+    removed, added, _ = fingerprints.differences(twice, once, at, at)
+    assert removed[0].tolist() == [5] and added[0].tolist() == [7]
+
+
+def test_likeness_by_hand(odd):
+    rows = sorted(((r[0], r[1] or "") for r in odd_rows()), key=lambda r: -r[0] if r[0] is not None else math.inf)
+    found = {r.doc_id: r for r in fingerprints.fingerprint_edits(odd).collect()}
+
+    def near(a, b):
+        a, b = (fingerprints.elements(pa.array([t], pa.large_string())).digests.tolist() for t in (a, b))
+        return len(set(a) & set(b)) / len(set(a) | set(b)) if a or b else 1.0
+
+    ids = collections.Counter(r[0] for r in rows)
+    for (doc_id, text), (after_id, after) in zip(rows, rows[1:]):
+        if doc_id is not None and after_id is not None and ids[doc_id] == ids[after_id] == 1:
+            edited = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+            assert found[doc_id].near_next == pytest.approx(near(text, after))
+            assert found[doc_id].near_edited == pytest.approx(near(text, edited))
+
+
+def test_scores_do_not_depend_on_files(spark):
+    """The same rows in other files and another order give the same samples, and so the same scores."""
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    other = docs.repartition(7, "text").sortWithinPartitions(F.desc("doc_id"))
+
+    def scores(f, d):
+        return {tuple(round(x, 7) if isinstance(x, float) else x for x in r) for r in f(d).collect()}
+
+    assert scores(lambda d: quality_classifier.predict_quality(d, labels), docs) == scores(
+        lambda d: quality_classifier.predict_quality(d, labels.repartition(3)), other
+    )
+    assert scores(language_id.predict_languages, docs) == scores(language_id.predict_languages, other)
+
+
+def test_samples_are_bounded_and_repeatable(spark):
+    from ticketmill.llm.samples import sample_of_each
+
+    df = spark.range(5000).withColumn("g", F.when(F.col("id") % 10 == 0, "rare").otherwise("often"))
+    one, counts = sample_of_each(df, "g", 300, "s", ["id"])
+    two, _ = sample_of_each(df.repartition(9).orderBy(F.desc("id")), "g", 300, "s", ["id"])
+    assert counts == {"rare": 500, "often": 4500} and bag(one.collect()) == bag(two.collect())
+    assert all(200 < n < 400 for n in collections.Counter(r.g for r in one.collect()).values())
+
+
+def test_quality_scores_by_hand(spark):
+    """The score of the trained state as a plain sparse dot product of n-grams of words and shapes."""
+    texts = ["Good words are good words", "a b a b", "", None, "  one  "]
+    rows = [(i, t, i % 2) for i, t in enumerate(texts * 6)]
+    model = quality_classifier.train_quality_model(spark.createDataFrame(rows, "doc_id int, text string, label int"), buckets=1 << 10)
+    weights = model.weights()
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in docs.select("text", quality_classifier.quality_score(docs, model).alias("s")).collect():
+        chunk = next(quality_classifier.chunks(pa.array([r.text or ""])))
+        features, bounds = quality_classifier._features(chunk, 1 << 10)
+        counts = collections.Counter(features.tolist())
+        assert len(features) == 6 * len(words(r.text)) == bounds[-1]
+        z = weights[-1] + sum(weights[k] * n * quality_classifier.SCALE / max(len(features), 1) for k, n in counts.items())
+        assert r.s == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_language_scores_by_hand(spark):
+    rows = [(1, "ab abc", "x"), (2, "ba cab", "y"), (3, "Aé", "x"), (4, None, "x"), (5, "zz", None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    model = language_id.train_language_model(docs, buckets=1 << 16, smoothing=0.5)
+    counts = {"x": collections.Counter(), "y": collections.Counter()}
+
+    def grams(text):
+        text = (text or "").lower()
+        return [text[i : i + n] for n in (1, 2, 3) for i in range(len(text) - n + 1)]
+
+    for _, text, lang in rows:
+        if lang and text:
+            counts[lang].update(grams(text))
+    for text in ("ab", "cab", "éa", "q"):
+        logs = []
+        for k, lang in enumerate(["x", "y"]):
+            prior = math.log([2, 1][k] / 3)
+            total = sum(counts[lang].values()) + 0.5 * (1 << 16)
+            logs.append(prior + sum(math.log((counts[lang][g] + 0.5) / total) for g in grams(text)))
+        assert language_id.log_likelihoods(pa.array([text]), model)[0].tolist() == pytest.approx(logs, abs=1e-3)
+
+
+def test_many_languages_share_fewer_buckets(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MATRIX_BYTES", 1 << 16)
+    rows = [(i, f"{chr(0x4E00 + i)} {chr(0x4E00 + i)}x", f"l{i:03d}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    model = language_id.train_language_model(docs)
+    assert len(model.weights) == 1024 and [r.lang_pred for r in docs.select(language_id.language(docs, model).alias("f")).select("f.*").collect()] == [r[2] for r in rows]
+
+
+def test_filters_of_the_pipeline_on_odd_tables(spark, odd, empty):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20, 50)], "doc_id long, quality int")
+    for stage in (language_id.in_known_language, lambda d: quality_classifier.of_good_quality(d, labels)):
+        assert stage(empty).count() == 0
+        kept = stage(odd.withColumnRenamed("k", "__score") if "k" in odd.columns else odd)
+        assert set(kept.columns) >= {"doc_id", "text", "lang"} and kept.count() <= odd.count()
+    assert language_id.in_known_language(odd).where("text IS NULL").count() == 0
+
+
+def test_preferences_keep_other_columns_and_replace_their_own(spark):
+    turn = [("user", "hi"), ("assistant", "yes")]
+    rows = [(1, turn, [("user", "hi"), ("assistant", "x" * 5000)], "p", 9, "kept"), (2, None, turn, "p", 9, "kept"), (3, [(None, None)], [], "p", 9, "kept")]
+    kind = "array<struct<role:string,text:string>>"
+    pairs = spark.createDataFrame(rows, f"id int, chosen {kind}, rejected {kind}, prompt string, n_common int, other string")
+    made = {r.id: r for r in preferences.format_preferences(pairs).collect()}
+    columns = preferences.format_preferences(pairs).columns
+    assert len(columns) == len(set(columns)) and all(r.other == "kept" for r in made.values())
+    assert (made[1].n_common, made[1].prompt) == (1, "<|user|>\nhi<|end|>\n") and len(made[1].rejected_completion) > 5000
+    assert (made[2].n_common, made[2].prompt, made[2].chosen_completion) == (0, "", "")
+    assert made[3].chosen_completion == "<||>\n<|end|>\n" and preferences.format_preferences(pairs.limit(0)).count() == 0
+
+
 def test_fingerprints_of_edits(odd, empty):
     found = fingerprints.fingerprint_edits(odd).collect()
     assert fingerprints.fingerprint_edits(empty).collect() == []
@@ -184,6 +312,13 @@ def test_ids_are_those_of_the_tokenizer():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    special = tokens.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    cut = ["<|endoftext|>", "a<|endoftext|> b<|endoftext|><|endoftext|>", " it's<|endoftext|>'s \n<|endoftext|>", "<|endoftext", "", "中<|endoftext|>é"]
+    encoder = tokens.encoder(VOCABULARY)
+    (chunk,) = tokens.chunks(pa.array(cut))
+    ids, bounds, hashes, pieces = encoder.encode_texts(chunk, special)
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [e.ids for e in plain.encode_batch(cut, add_special_tokens=False)]
+    assert ids[0] == 50256 and len(hashes) == pieces[-1]
     plain.encode_special_tokens = True
     texts = [r[1] or "" for r in odd_rows()] + ["it's", "'s", "''s I'll've", " 's 'S", "\n's \n\n  a", "<|endoftext|>", "a　b 12½"]
     assert [x.tolist() for x in tokens.encode_all(pa.array(texts), VOCABULARY)] == [

@@ -26,6 +26,7 @@ PIECE_WORDS = 8
 CELLS = 24
 GROWTH = 4
 HASHES = 3
+ENOUGH = 16
 SALTS = np.array([0x9AE16A3B2F90404F, 0xC949D7C7509E6557, 0xFF51AFD7ED558CCD], np.uint64)
 CHECK = np.uint64(0xD6E8FEB86659FD93)
 CELL = np.dtype([("count", "<i4"), ("key", "<u8"), ("check", "<u4")])
@@ -95,12 +96,16 @@ def _checks(digests: np.ndarray) -> np.ndarray:
 
 
 def _change(table: np.ndarray, digests: np.ndarray, row: np.ndarray, sign: np.ndarray | int) -> None:
-    cells = table.shape[1]
-    flat, checks = table.reshape(-1), _checks(digests)
-    for spots in _cells_of(digests, row, cells):
-        np.add.at(flat["count"], spots, sign)
-        np.bitwise_xor.at(flat["key"], spots, digests)
-        np.bitwise_xor.at(flat["check"], spots, checks)
+    if not len(digests):
+        return
+    spots = _cells_of(digests, row, table.shape[1]).ravel()
+    order = np.argsort(spots)
+    spots, which = spots[order], order % len(digests)
+    first = np.flatnonzero(np.append(True, spots[1:] != spots[:-1]))
+    flat, at = table.reshape(-1), spots[first]
+    flat["count"][at] += np.add.reduceat(np.broadcast_to(sign, len(digests))[which], first)
+    flat["key"][at] ^= np.bitwise_xor.reduceat(digests[which], first)
+    flat["check"][at] ^= np.bitwise_xor.reduceat(_checks(digests)[which], first)
 
 
 def sketches(sets: Elements, texts: np.ndarray, cells: int) -> np.ndarray:
@@ -111,13 +116,21 @@ def sketches(sets: Elements, texts: np.ndarray, cells: int) -> np.ndarray:
 
 
 def peel(difference: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, digest and sign of all that could be peeled off, and which rows came out empty."""
+    """Row, digest and sign of all that could be peeled off, and which rows came out empty.
+
+    A cell is pure if its check is that of its key and it is one of the key's own cells. A mixed cell may
+    still look so by chance, and would be peeled off and come back in turns; no sketch gives back more
+    digests than it has cells, so peeling ends after as many rounds, and such a row does not come out empty.
+    """
     table, found = difference.copy(), []
-    while True:
+    cells = table.shape[1]
+    for _ in range(cells):
         row, cell = np.nonzero((np.abs(table["count"]) == 1))
         own = table[row, cell]
         pure = own["check"] == _checks(own["key"])
-        row, own = row[pure], own[pure]
+        row, cell, own = row[pure], cell[pure], own[pure]
+        mine = (_cells_of(own["key"], row, cells) == row * cells + cell).any(axis=0)
+        row, own = row[mine], own[mine]
         if not len(row):
             break
         _, once = np.unique(scramble(row.astype(np.uint64)) ^ own["key"], return_index=True)
@@ -129,13 +142,29 @@ def peel(difference: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return row, digests, sign, empty
 
 
-def differences(old: Elements, new: Elements, of_old: np.ndarray, of_new: np.ndarray, cells: int = CELLS):
-    """For each pair of texts: digests only in the old, digests only in the new, and the cells it took."""
+def differences(
+    old: Elements, new: Elements, of_old: np.ndarray, of_new: np.ndarray, cells: int = CELLS,
+    made: tuple[np.ndarray, np.ndarray] | None = None,
+):
+    """For each pair of texts: digests only in the old, digests only in the new, and the cells it took.
+
+    `made` has the sketches of both sides with `cells` cells, if they are there. Sketches grow until they can
+    be peeled; a pair that cannot be with `ENOUGH` cells for each of its digests holds a digest twice, and
+    its digests are compared one by one.
+    """
     removed, added = [None] * len(of_old), [None] * len(of_old)
     took, open_ = np.zeros(len(of_old), np.int64), np.arange(len(of_old))
     while len(open_):
-        left = sketches(old, of_old[open_], cells)
-        right = sketches(new, of_new[open_], cells)
+        sizes = np.diff(old.bounds)[of_old[open_]] + np.diff(new.bounds)[of_new[open_]]
+        for k in open_[cells > ENOUGH * sizes + CELLS * GROWTH**2]:
+            own, other = (x.digests[x.bounds[t[k]] : x.bounds[t[k] + 1]] for x, t in ((old, of_old), (new, of_new)))
+            removed[k], added[k], took[k] = np.setdiff1d(own, other), np.setdiff1d(other, own), cells
+        open_ = open_[cells <= ENOUGH * sizes + CELLS * GROWTH**2]
+        if not len(open_):
+            break
+        left = made[0][of_old[open_]] if made else sketches(old, of_old[open_], cells)
+        right = made[1][of_new[open_]] if made else sketches(new, of_new[open_], cells)
+        made = None
         left["count"] -= right["count"]
         left["key"] ^= right["key"]
         left["check"] ^= right["check"]
@@ -151,17 +180,26 @@ def differences(old: Elements, new: Elements, of_old: np.ndarray, of_new: np.nda
     return removed, added, took
 
 
-def likeness(old: Elements, new: Elements, of_old: np.ndarray, of_new: np.ndarray) -> np.ndarray:
+def likeness(
+    old: Elements, new: Elements, of_old: np.ndarray, of_new: np.ndarray, made: tuple[np.ndarray, np.ndarray] | None = None
+) -> np.ndarray:
     """Share of paragraphs in both texts among those in either, from the peeled difference."""
-    removed, added, _ = differences(old, new, of_old, of_new)
+    removed, added, _ = differences(old, new, of_old, of_new, made=made)
     size = np.diff(old.bounds)[of_old].astype(float)
     less, more = np.array([len(x) for x in removed], float), np.array([len(x) for x in added], float)
     either = size + more
     return np.where(either > 0, (size - less) / np.maximum(either, 1), 1.0)
 
 
+def _all_sketches(sets: Elements, cells: int = CELLS) -> np.ndarray:
+    return sketches(sets, np.arange(len(sets.bounds) - 1), cells)
+
+
 def as_text(sets: Elements, cells: int = CELLS) -> list[str]:
-    tables = sketches(sets, np.arange(len(sets.bounds) - 1), cells)
+    return _texts_of(_all_sketches(sets, cells))
+
+
+def _texts_of(tables: np.ndarray) -> list[str]:
     return [base64.b64encode(table.tobytes()).decode() for table in tables]
 
 
@@ -203,15 +241,16 @@ def _compare(ids: pa.Array, texts: pa.Array, after: pa.Array) -> pa.RecordBatch:
     edited = [_edit(a, b) for a, b in zip(own, following)]
     sets, edits, next_ = (elements(pa.array(x, pa.large_string())) for x in (own, edited, following))
     at = np.arange(len(own))
+    mine, changed, others = (_all_sketches(x) for x in (sets, edits, next_))
     return pa.RecordBatch.from_pydict(
         {
             "doc_id": ids,
             "n_chars": pa.array([len(t) for t in own], pa.int64()),
             "edited_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-            "fingerprint": pa.array(as_text(sets), pa.string()),
-            "edited_fingerprint": pa.array(as_text(edits), pa.string()),
-            "near_edited": pa.array(likeness(sets, edits, at, at)),
-            "near_next": pa.array(likeness(sets, next_, at, at)),
+            "fingerprint": pa.array(_texts_of(mine), pa.string()),
+            "edited_fingerprint": pa.array(_texts_of(changed), pa.string()),
+            "near_edited": pa.array(likeness(sets, edits, at, at, (mine, changed))),
+            "near_next": pa.array(likeness(sets, next_, at, at, (mine, others))),
         }
     )
 
@@ -222,7 +261,8 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     The edited text has its last half replaced by the beginning of the next document, in descending
     order of doc_id (after the last: the first; null ids last, equal ids in the order of a text hash). A
     null text is empty; two texts without a paragraph are alike, 1. A text is its own next document if
-    it is alone. Columns beside doc_id and text are not read.
+    it is alone. An empty table gives an empty one. Very long texts are taken whole, one at a time. Columns
+    beside doc_id and text are not read, so their names may clash with anything.
     """
     schema = (
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "

@@ -15,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketmill.llm.samples import sample_of_each
+from ticketmill.llm.samples import draw, known_by, sample_of_each
 from ticketmill.llm.tables import remainder_of_id
 from ticketmill.llm.words import Chunk, chunks, code_points, lower_points, scramble
 
 UNDETERMINED = "und"
 ORDERS = (1, 2, 3)
-MOST_LANGUAGES = 1000
+MATRIX_BYTES = 128 << 20
+LEAST_BUCKETS = 1 << 10
 
 
 @dataclass
@@ -55,15 +56,18 @@ def train_language_model(
 ) -> LanguageModel:
     """A model of the languages in `docs`; rows without text or language teach nothing.
 
-    About `rows_per_language` rows of each language, at most, are counted; priors come from all rows.
+    About `rows_per_language` rows of each language, at most, are counted; priors come from all rows. The
+    broadcast matrix has 4 bytes for each bucket and language; where that would be more than `MATRIX_BYTES`,
+    which some thousand languages take, n-grams share fewer buckets.
     """
+    drawn = draw(known_by(docs, text)).alias("drawn")
     rows, counts = sample_of_each(
-        docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang")),
-        "lang", rows_per_language, "language-sample",
+        docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"), drawn),
+        "lang", rows_per_language, "language-sample", ["drawn"],
     )
     languages = sorted(counts)
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages: the broadcast matrix is meant for {MOST_LANGUAGES} at most")
+    while buckets > LEAST_BUCKETS and 4 * buckets * len(languages) > MATRIX_BYTES:
+        buckets //= 2
     if not languages:
         return LanguageModel([], np.zeros(0), np.zeros((buckets, 0), np.float32))
 
@@ -137,8 +141,9 @@ def language(docs: DataFrame, model: LanguageModel, text: str | Column = "text")
 def predict_languages(docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row, learned from the rows that are not held out.
 
-    A null id is never held out. Nulls and empty texts are `und`; repeated rows are rows of their own;
-    columns beside doc_id, text and lang are not read.
+    A null id is never held out. Nulls and empty texts are `und`; repeated rows are rows of their own; very
+    long texts are read whole, in chunks; an empty table gives an empty one. Columns beside doc_id, text and
+    lang are not read, so their names may clash with anything.
     """
     own = docs.select("doc_id", "text", "lang", F.coalesce(remainder_of_id("doc_id", folds) == held_out, F.lit(False)).alias("held_out"))
     model = train_language_model(own.where(~F.col("held_out")))
@@ -146,11 +151,11 @@ def predict_languages(docs: DataFrame, folds: int = 4, held_out: int = 2) -> Dat
 
 
 def in_known_language(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """The rows of `docs` whose language is recognised with at least `least_score`; their columns stay."""
-    model = train_language_model(docs)
-    found = language(docs, model)
-    return (
-        docs.withColumn("__language", found)
-        .where((F.col("__language.lang_pred") != UNDETERMINED) & (F.col("__language.score") >= least_score))
-        .select(docs.columns)
-    )
+    """The rows of `docs` whose language is recognised with at least `least_score`; their columns stay, whatever
+    their names.
+
+    Null texts and texts without a letter go; an empty table gives an empty one.
+    """
+    found = language(docs, train_language_model(docs))
+    known = F.when(found["lang_pred"] != UNDETERMINED, found["score"]).otherwise(F.lit(-1.0))
+    return docs.where(known >= least_score)

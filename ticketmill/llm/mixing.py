@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketmill.llm.tables import stored
+from ticketmill.llm.tables import free_name, stored
 
 SEED = 20240501
 PART = 500.0
@@ -80,14 +80,16 @@ def mix_sources(
 ) -> DataFrame:
     """Every copy of every document, shuffled: the columns of `docs`, copy (from 1) and shuffle_key.
 
-    Columns of `docs` with the last two names are replaced. A null source is a source of its own, a null text has no characters. Rows with the same id get the
-    same count. An empty table gives an empty one.
+    Columns of `docs` with the last two names are replaced, all others stay whatever their names. A null source
+    is a source of its own, a null text has no characters. Rows with the same id get the same count. An empty
+    table gives an empty one.
     """
-    rates = target_rates(docs, weights, power).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
-    rated = docs.join(rates, F.col("source").eqNullSafe(F.col("__source")))
-    counted = rated.withColumn("__row", identity()).withColumn("__count", poisson_count(F.col("__rate"), F.col("__row"), seed))
-    copies = counted.where("__count > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__count"))))
-    keyed = copies.withColumn("shuffle_key", _hash(F.lit("order"), F.lit(str(seed)), F.col("__row"), F.col("copy").cast("string"), digits=15))
+    own, rate, row, count = (free_name(name, docs) for name in ("__source", "__rate", "__row", "__count"))
+    rates = target_rates(docs, weights, power).select(F.col("source").alias(own), F.col("rate").alias(rate))
+    rated = docs.join(rates, F.col("source").eqNullSafe(F.col(own)))
+    counted = rated.withColumn(row, identity()).withColumn(count, poisson_count(F.col(rate), F.col(row), seed))
+    copies = counted.where(F.col(count) > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col(count))))
+    keyed = copies.withColumn("shuffle_key", _hash(F.lit("order"), F.lit(str(seed)), F.col(row), F.col("copy").cast("string"), digits=15))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = keyed.select(*[c for c in docs.columns if c not in ("copy", "shuffle_key")], "copy", "shuffle_key")
     return out.repartition(partitions, "shuffle_key").sortWithinPartitions("shuffle_key")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,21 +58,23 @@ def _place(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(has, least, np.uint64(0))
 
 
-def id_type(vocabulary: str) -> np.dtype:
+def id_type(vocabulary: str, special: Mapping[str, int] = {}) -> np.dtype:  # noqa: B006
     """Little-endian type that holds every id: 16 bits where the vocabulary allows it."""
     with open(vocabulary, "rb") as lines:
-        last = max(int(line.split()[1]) for line in lines)
+        last = max([int(line.split()[1]) for line in lines] + list(special.values()))
     return np.dtype("<u2" if last < 1 << 16 else "<u4")
 
 
-def token_table(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def token_table(
+    docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", special: Mapping[str, int] = {}  # noqa: B006
+) -> DataFrame:
     """(doc_id, ids, key) of every row, written: ids as `id_type` with the end id, and the place among shards."""
-    kind = id_type(vocabulary)
+    kind = id_type(vocabulary, special)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column("text")):
-                ids, bounds, hashes, pieces = encoder(vocabulary).encode(chunk)
+                ids, bounds, hashes, pieces = encoder(vocabulary).encode_texts(chunk, special)
                 ids = ids.astype(kind)
                 packed = [np.append(ids[a:b], kind.type(END)).tobytes() for a, b in zip(bounds, bounds[1:])]
                 own = batch.column("id").slice(chunk.first, chunk.last - chunk.first)
@@ -197,14 +199,15 @@ def pack_shard(documents: list[np.ndarray], statistics: TermStatistics, window:
         yield filled
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, window: int = 1024) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, window: int = 1024, special: Mapping[str, int] = {}) -> DataFrame:  # noqa: B006
     """Every piece of every row's ids, packed into sequences of at most `window` ids.
 
     Columns doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset. A null text is empty:
-    its only id is the end. Repeated rows and null ids are packed as rows of their own; columns beside
-    doc_id and text are not read.
+    its only id is the end. `special` has the texts that become one id wherever they stand. Repeated rows and
+    null ids are packed as rows of their own, very long texts whole; an empty table gives an empty one.
+    Columns beside doc_id and text are not read, so their names may clash with anything.
     """
-    tokens, kind = token_table(docs, vocabulary), id_type(vocabulary)
+    tokens, kind = token_table(docs, vocabulary, special=special), id_type(vocabulary, special)
     spark = docs.sparkSession
     statistics = spark.sparkContext.broadcast(term_statistics(tokens, kind))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))

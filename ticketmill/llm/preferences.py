@@ -47,14 +47,18 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
     """`pairs` with its columns chosen and rejected, arrays of (role, text), made training text.
 
     Adds n_common, prompt, chosen_completion, rejected_completion, chosen_spans and rejected_spans. A
-    null conversation is one without turns. Two equal conversations have empty completions.
+    null conversation is one without turns. Two equal conversations have empty completions. A column of
+    `pairs` that is named as one of these gives way to it; all others stay. Repeated rows are formatted
+    alike, turns without text are empty, long ones whole; an empty table gives an empty one.
     """
     empty = F.array().cast(TURN)
-    whole = pairs.withColumns({side: F.coalesce(F.col(side).cast(TURN), empty) for side in ("chosen", "rejected")})
+    sides = ("chosen", "rejected")
+    made = ["n_common", "prompt", *[f"{s}_{part}" for part in ("completion", "spans") for s in sides]]
+    whole = pairs.withColumns({side: F.coalesce(F.col(side).cast(TURN), empty) for side in sides})
     whole = whole.withColumn("n_common", common_turns(F.col("chosen"), F.col("rejected")))
-    rest = {side: F.slice(side, F.col("n_common") + 1, F.greatest(F.size(side), F.lit(1))) for side in ("chosen", "rejected")}
+    rest = {side: F.slice(side, F.col("n_common") + 1, F.greatest(F.size(side), F.lit(1))) for side in sides}
     return whole.select(
-        *[c for c in whole.columns if c not in ("chosen", "rejected")],
+        *[c for c in whole.columns if c not in (*sides, *made)], "n_common",
         render(F.slice("chosen", F.lit(1), F.col("n_common"))).alias("prompt"),
         *[render(turns).alias(f"{side}_completion") for side, turns in rest.items()],
         *[completion_spans(turns).alias(f"{side}_spans") for side, turns in rest.items()],

@@ -1,8 +1,8 @@
 """Quality classifier: logistic regression on hashed word n-grams, trained with FTRL-proximal updates.
 
-The features of a text are its words, the shapes of its words (letters, digits and capitals reduced to
-one symbol each, other characters kept), pairs of neighbouring shapes, and whether a word repeats the
-one before it; each is hashed into `buckets` and counted as a share of the text. A score is a sparse dot
+The features of a text are its words, pairs and triples of neighbouring words, the shapes of its words
+(letters, digits and capitals reduced to one symbol each, other characters kept), pairs of neighbouring
+shapes, and whether a word repeats the one before it; each is hashed into `buckets` and counted as a share of the text. A score is a sparse dot
 product. Training runs in shards: each shard of a bounded sample makes per-row updates from the same
 state, and the states are averaged after every round.
 """
@@ -17,11 +17,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketmill.llm.samples import SEED, sample_of_each
+from ticketmill.llm.samples import SEED, draw, known_by, sample_of_each
 from ticketmill.llm.tables import remainder_of_id, stored
 from ticketmill.llm.words import BYTE_VALUES, LOWER, Chunk, chunks, find_words, scramble, span_hashes, sums_by_text
 
-SCALE = 12.0
+SCALE = 18.0
+KINDS = 6
 STATE = "shard int, z binary, n binary"
 SHAPES = np.arange(256, dtype=np.uint8)
 SHAPES[65:91], SHAPES[97:123], SHAPES[48:58], SHAPES[128:] = 65, 97, 48, 97
@@ -45,7 +46,7 @@ class QualityModel:
 
 
 def _features(chunk: Chunk, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features of a chunk's texts, four for each word, and where each text's begin and end."""
+    """Hashed features of a chunk's texts, `KINDS` for each word, and where each text's begin and end."""
     words = find_words(chunk.data, chunk.bounds)
     surface = span_hashes(BYTE_VALUES[LOWER[chunk.data]], words.start, words.end)
     shape = span_hashes(_collapsed(chunk.data), words.start, words.end)
@@ -57,8 +58,14 @@ def _features(chunk: Chunk, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     again = (surface == np.roll(surface, 1)) & ~first
     pair = scramble(before * np.uint64(3) + shape)
     repeat = np.where(again, np.uint64(0x1234567), np.uint64(0x7654321))
-    all_ = np.stack([surface, shape ^ np.uint64(0x5555), pair, scramble(repeat)], axis=1)
-    return (all_.ravel() & np.uint64(buckets - 1)).astype(np.int64), words.bounds * 4
+    one_before = np.roll(surface, 1)
+    one_before[first] = 0
+    two_before = np.roll(one_before, 1)
+    two_before[first] = 0
+    two = scramble(one_before * np.uint64(5) + surface)
+    three = scramble((two_before * np.uint64(5) + one_before) * np.uint64(7) + surface)
+    all_ = np.stack([surface, shape ^ np.uint64(0x5555), pair, scramble(repeat), two, three], axis=1)
+    return (all_.ravel() & np.uint64(buckets - 1)).astype(np.int64), words.bounds * KINDS
 
 
 def _collapsed(data: np.ndarray) -> np.ndarray:
@@ -91,7 +98,7 @@ def _shard_fit(start: Broadcast, seed: int):
 
     def fit(part: pa.Table) -> pa.Table:
         own = QualityModel(start.value.z.copy(), start.value.n.copy())
-        part = part.sort_by("text")
+        part = part.sort_by([("text", "ascending"), ("label", "ascending")])
         part = part.take(np.random.default_rng(seed).permutation(len(part)))
         _fit(part.column("text"), part.column("label").to_numpy(), own)
         return _state(part.column("shard")[0].as_py(), own.z, own.n)
@@ -119,11 +126,13 @@ def train_quality_model(
     At most about `rows_per_label` rows of each label are used: a documented bound of the sample. A null
     text counts as empty. Without rows the model scores 0.5.
     """
-    rows, counts = sample_of_each(labelled.where("label IN (0, 1)").select("text", "label"), "label", rows_per_label, "quality-sample")
+    by = known_by(labelled)
+    own = labelled.where("label IN (0, 1)").select("text", "label", draw(by, SEED + 1).alias("drawn"), draw(by).alias("again"))
+    rows, counts = sample_of_each(own, "label", rows_per_label, "quality-sample", ["again"])
     model = QualityModel(np.zeros(buckets + 1), np.zeros(buckets + 1))
     if not counts:
         return model
-    rows = stored(rows.withColumn("shard", F.floor(F.rand(SEED + 1) * shards).cast("int")), "quality-shards")
+    rows = stored(rows.withColumn("shard", (F.col("drawn") % shards).cast("int")), "quality-shards")
     context = rows.sparkSession.sparkContext
     for turn in range(rounds):
         fit = _shard_fit(context.broadcast(model), SEED + turn)
@@ -151,21 +160,22 @@ def quality_score(docs: DataFrame, model: QualityModel, text: str | Column = "te
 
 
 def labels_of(docs: DataFrame, labels: DataFrame, label: str, rows: int = 20_000) -> DataFrame:
-    """text and label of documents that have one; of several labels of an id, the smallest.
+    """doc_id, text and label of documents that have one; of several labels of an id, the smallest.
 
     About `rows` ids of each label, at most, take part: a documented bound. Their list is broadcast, so
     the texts stay where they are.
     """
     least = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
-    chosen, _ = sample_of_each(least.where("label IN (0, 1)"), "label", rows, "label-sample")
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    chosen, _ = sample_of_each(least.where("label IN (0, 1)"), "label", rows, "label-sample", ["doc_id"])
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
 
 
 def predict_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score and predicted of every row, learned from labels that are not held out.
 
-    A null id is never held out and has no label. Repeated rows are rows of their own; columns beside
-    doc_id and text are not read.
+    A null id is never held out and has no label. Nulls and empty texts have the score of the bias alone.
+    Repeated rows are rows of their own; very long texts are read whole, in chunks; an empty table gives
+    an empty one. Columns beside doc_id and text are not read, so their names may clash with anything.
     """
     out = F.coalesce(remainder_of_id("doc_id", folds) == held_out, F.lit(False))
     model = train_quality_model(labels_of(docs.where(~out), labels.where(~out), "quality"))
@@ -175,6 +185,10 @@ def predict_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out
 
 
 def of_good_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of `docs` that score at least `threshold`, learned from all labels; their columns stay."""
+    """The rows of `docs` that score at least `threshold`, learned from all labels; their columns stay, whatever
+    their names.
+
+    Nulls and empty texts are judged by the bias alone; an empty table gives an empty one.
+    """
     model = train_quality_model(labels_of(docs, labels, "quality"))
-    return docs.withColumn("__score", quality_score(docs, model)).where(F.col("__score") >= threshold).select(docs.columns)
+    return docs.where(quality_score(docs, model) >= threshold)

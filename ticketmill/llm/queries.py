@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm import (
     class_lm, fingerprints, infill, language_id, mixing, packing, preferences, quality_classifier, rule_cascade, search,
-    simhash, substring, toxicity,
+    simhash, substring, tokens, toxicity,
 )
 from ticketmill.llm.tables import documents
 
@@ -27,7 +27,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return packing.pack_documents(documents(spark, sf_dir), vocabulary, window=1024)
+    special = tokens.special_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(documents(spark, sf_dir), vocabulary, window=1024, special=special)
 
 
 def op4_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

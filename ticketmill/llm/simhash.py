@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.llm.components import components
-from ticketmill.llm.tables import discard, stored
+from ticketmill.llm.tables import discard, free_name, stored
 from ticketmill.llm.words import LOWER, SPACES, Chunk, chunks, find_words
 
 BITS = 64
@@ -228,11 +228,12 @@ def one_of_each_group(docs: DataFrame, shingle_words: int = 4, distance: int = 4
     rows = docs.join(kept.where("rows = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
 
     # Ids of several rows, and rows without id, are told apart by their fingerprints.
+    ident, own, top, fp = (free_name(name, docs) for name in ("__id", "__own", "__top", "__fp"))
     several = docs.join(kept.where("rows > 1").select("doc_id"), "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
     heads = groups.where(stands).join(kept.where("rows > 1").select(F.col("doc_id").alias("id")), "id", "left_semi")
     heads = heads.unionByName(groups.where("component_id IS NULL")).distinct().select(
-        F.col("id").alias("__id"), F.col("fp").alias("__own"), F.col("root").alias("__top")
+        F.col("id").alias(ident), F.col("fp").alias(own), F.col("root").alias(top)
     )
-    several = several.withColumn("__fp", simhash("text", shingle_words))
-    again = several.join(heads, several["doc_id"].eqNullSafe(heads["__id"]) & (F.col("__fp") == F.col("__own")))
-    return rows.unionByName(again.dropDuplicates(["__id", "__top"]).select(*docs.columns))
+    several = several.withColumn(fp, simhash("text", shingle_words))
+    again = several.join(heads, several["doc_id"].eqNullSafe(heads[ident]) & (F.col(fp) == F.col(own)))
+    return rows.unionByName(again.dropDuplicates([ident, top]).select(*docs.columns))

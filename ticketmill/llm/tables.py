@@ -43,3 +43,11 @@ def remainder_of_id(column: str, divisor: int):
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def free_name(name: str, *tables: DataFrame) -> str:
+    """`name`, with as many underscores before it as let no column of the tables be called so."""
+    taken = {c.lower() for table in tables for c in table.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -8,6 +8,8 @@ was seen before takes its ids from a cache. The ids are those of `tokenizers` wi
 from __future__ import annotations
 
 import base64
+import json
+from collections.abc import Mapping
 from functools import lru_cache
 
 import numpy as np
@@ -129,6 +131,29 @@ class Encoder:
         place[missing] = found[which]
         return place
 
+    def encode_with(self, text: str, special: Mapping[str, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of one text in which special tokens are ids of their own, and the hashes of its other pieces."""
+        ids, hashes = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint64)]
+        for part in regex.split("(" + "|".join(map(regex.escape, special)) + ")", text):
+            if part in special:
+                ids.append(np.array([special[part]], np.uint32))
+                continue
+            for chunk in chunks(pa.array([part])):
+                own, _, pieces, _ = self.encode(chunk)
+                ids.append(own)
+                hashes.append(pieces)
+        return np.concatenate(ids), np.concatenate(hashes)
+
+    def encode_texts(self, chunk: Chunk, special: Mapping[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As `encode`; texts that hold a special token are cut there first."""
+        data = chunk.data.tobytes()
+        if not any(token.encode() in data for token in special):
+            return self.encode(chunk)
+        texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(chunk.bounds, chunk.bounds[1:])]
+        found = [self.encode_with(text, special) for text in texts]
+        bounds, pieces = (np.cumsum([0] + [len(x[k]) for x in found]) for k in (0, 1))
+        return np.concatenate([x[0] for x in found]), bounds, np.concatenate([x[1] for x in found]), pieces
+
     def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of a chunk, where each text's begin, the hashes of its pieces, and where each text's begin."""
         points, bounds = code_points(chunk)
@@ -146,6 +171,12 @@ class Encoder:
         return ids, upto[texts], hashes, texts
 
 
+def special_tokens(path: str) -> dict[str, int]:
+    """The special tokens of a `tokenizers` file: texts that become one id wherever they stand."""
+    with open(path, encoding="utf-8") as file:
+        return {token["content"]: token["id"] for token in json.load(file)["added_tokens"] if token["special"]}
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     return Encoder(path)

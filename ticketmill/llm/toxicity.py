@@ -20,13 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.llm.quality_classifier import labels_of
-from ticketmill.llm.samples import sample_of_each
+from ticketmill.llm.samples import draw, known_by, sample_of_each
 from ticketmill.llm.tables import remainder_of_id, stored
 from ticketmill.llm.words import Chunk, chunks, code_points, find_words, lower_points, span_hashes
 
 LENGTHS = (1, 4, 9)
 WINDOW = 6
-PREVIOUS = 16
+MOST_STATES = 1 << 17
 ADDRESS = ("you", "your", "you're", "u", "du", "dich", "dein", "ihr", "tu", "toi", "ton", "vous", "usted", "eres")
 REPORTING = (
     "said", "says", "say", "called", "calls", "call", "quote", "quoted", "quotes", "word", "words", "term", "wrote",
@@ -146,8 +146,9 @@ _automata: dict[tuple, LexiconAutomaton] = {}
 
 
 def _automaton(terms: list[str]) -> LexiconAutomaton:
+    """The automaton of a worker; begun anew when words have made more than `MOST_STATES` states of it."""
     key = tuple(terms)
-    if key not in _automata:
+    if key not in _automata or len(_automata[key].sets) > MOST_STATES:
         _automata.clear()
         _automata[key] = LexiconAutomaton(terms)
     return _automata[key]
@@ -286,7 +287,7 @@ def mine_lexicon(labelled: DataFrame, sure_contexts: int = 6, ratio: float = 20.
     plain = F.regexp_replace(parts, r"(^|[\s])[\p{Punct}«»“”„¿¡]+|[\p{Punct}«»“”„]+(?=\s|$)", " ")
     words = labelled.select("label", F.split(F.trim(plain), r"\s+").alias("w"))
     uses = words.select("label", F.explode(F.arrays_zip("w", F.concat(F.array(F.lit("")), "w").alias("p"))).alias("use"))
-    uses = uses.select("label", F.col("use.w").alias("word"), F.substring("use.p", -PREVIOUS, PREVIOUS).alias("previous"))
+    uses = uses.select("label", F.col("use.w").alias("word"), F.xxhash64("use.p").alias("previous"))
     counted = stored(
         uses.where(F.length("word") >= 3).groupBy("word", "previous", "label").agg(F.lit(1))
         .groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")),
@@ -317,9 +318,8 @@ def train_toxicity_model(labelled: DataFrame, rows_per_label: int = 4000, extra_
     At most about `rows_per_label` rows of each label are used: a documented bound of the sample. Rows
     with another label or a null text teach nothing; without rows of both labels every text scores low.
     """
-    rows, counts = sample_of_each(
-        labelled.where("label IN (0, 1) AND text IS NOT NULL").select("text", "label"), "label", rows_per_label, "toxicity-sample"
-    )
+    own = labelled.where("label IN (0, 1) AND text IS NOT NULL").select("text", "label", draw(known_by(labelled)).alias("drawn"))
+    rows, counts = sample_of_each(own, "label", rows_per_label, "toxicity-sample", ["drawn"])
     mined = mine_lexicon(rows) if len(counts) == 2 else []
     terms = sorted({*mined, *(t.lower() for t in extra_terms if t)})
     model = ToxicityModel(terms, np.tile([1.0, 0.7, 0.4], (len(terms), 1)))
@@ -394,8 +394,9 @@ def toxicity_score(docs: DataFrame, model: ToxicityModel, text: str | Column = "
 def predict_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score and predicted of every row, learned from labels that are not held out.
 
-    A null id is never held out and has no label. Repeated rows are rows of their own; columns beside
-    doc_id and text are not read.
+    A null id is never held out and has no label. Nulls and empty texts score as texts without a hit.
+    Repeated rows are rows of their own; very long texts are read whole, in chunks; an empty table gives
+    an empty one. Columns beside doc_id and text are not read, so their names may clash with anything.
     """
     out = F.coalesce(remainder_of_id("doc_id", folds) == held_out, F.lit(False))
     model = train_toxicity_model(labels_of(docs.where(~out), labels.where(~out), "toxic"))
