@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.llm.samples import draw, known_by, sample_of_each
-from ticketmill.llm.tables import remainder_of_id
+from ticketmill.llm.tables import free_name, remainder_of_id
 from ticketmill.llm.words import Chunk, chunks, code_points, lower_points, scramble
 
 UNDETERMINED = "und"
@@ -156,6 +156,7 @@ def in_known_language(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
 
     Null texts and texts without a letter go; an empty table gives an empty one.
     """
-    found = language(docs, train_language_model(docs))
-    known = F.when(found["lang_pred"] != UNDETERMINED, found["score"]).otherwise(F.lit(-1.0))
-    return docs.where(known >= least_score)
+    spoken = free_name("__language", docs)
+    judged = docs.withColumn(spoken, language(docs, train_language_model(docs)))
+    found = F.col(spoken)
+    return judged.where((found["lang_pred"] != UNDETERMINED) & (found["score"] >= least_score)).select(docs.columns)
