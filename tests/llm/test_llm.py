@@ -523,6 +523,109 @@ def test_class_model_is_a_distribution_and_better_than_the_base(spark):
     assert found[0] > found[1]
 
 
+def training_texts(frame):
+    return frame.where(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2, F.lit(True))).select(F.coalesce("text", F.lit("")).alias("text"))
+
+
+def hash_of(word):
+    chunk = next(class_lm.chunks(pa.array([word])))
+    return int(class_lm._lowered(chunk)[1][0])
+
+
+def test_class_scores_by_hand(odd):
+    texts = training_texts(odd)
+    model = class_lm.train_class_model(texts, class_lm.word_counts(texts))
+    plain = [words(lowered(r.text)) for r in texts.collect()]
+    counts = collections.Counter(w for own in plain for w in own)
+    known = dict(zip(model.hashes.tolist(), model.classes.tolist()))
+    of = {w: known.get(hash_of(w), 1) if n >= 3 else 1 for w, n in counts.items()}
+    assert all(of[w] > 1 for w, n in counts.items() if n >= 3)
+    steps = collections.Counter(step for own in plain for path in [[0, *[of[w] for w in own], 0]] for step in zip(path, path[1:]))
+    width = len(model.transitions)
+    size, after, inside = collections.Counter(), collections.Counter(), collections.Counter()
+    for (a, b), n in steps.items():
+        after[a] += n
+        size[b] += n
+    for w, n in counts.items():
+        inside[of[w]] += n
+    share = [(size[b] + 0.1) / (sum(size.values()) + 0.1 * width) for b in range(width)]
+    assert np.allclose((10**model.transitions).sum(axis=1), 1)
+
+    def log_p(text):
+        own = words(lowered(text))
+        path = [0, *[of.get(w, 1) for w in own], 0]
+        total = sum(math.log10((steps[a, b] + 0.1 * width * share[b]) / (after[a] + 0.1 * width)) for a, b in zip(path, path[1:]))
+        for w in own:
+            if of.get(w, 1) > 1:
+                total += math.log10(counts[w] / inside[of[w]])
+            elif w in counts:
+                total += math.log10((counts[w] - 0.5) / inside[1])
+            else:
+                total += math.log10(0.5 * sum(c == 1 for c in of.values()) / inside[1])
+        return total
+
+    found = bag((r.doc_id, round(r.score, 5)) for r in class_lm.score_texts(odd).collect())
+    assert found == bag((r[0], round(log_p(r[1]), 5)) for r in odd_rows())
+
+
+def test_neighbours_are_all_pairs_of_tokens(odd):
+    texts = training_texts(odd)
+    plain = [words(lowered(r.text)) for r in texts.collect()]
+    vocabulary = [w for w, n in collections.Counter(w for own in plain for w in own).items() if n >= 3]
+    hashes = sorted(hash_of(w) for w in vocabulary)
+    ids = {w: hashes.index(hash_of(w)) for w in vocabulary}
+    rest, end = len(ids), len(ids) + 1
+    expected = collections.Counter()
+    for own in plain:
+        path = [end, *[ids.get(w, rest) for w in own], end]
+        expected.update(zip(path, path[1:]))
+    pairs = class_lm.pair_counts(texts, np.array(hashes), np.arange(len(hashes), dtype=np.int32))
+    rows = class_lm.neighbours_by_word(pairs, 5).collect()
+    assert len({r.word for r in rows}) == len(rows)
+    both = collections.Counter(), collections.Counter()
+    for r in rows:
+        for b, n in zip(np.frombuffer(r.after, np.int32).tolist(), np.frombuffer(r.after_n, np.int64).tolist()):
+            both[0][r.word, b] += n
+        for a, n in zip(np.frombuffer(r.before, np.int32).tolist(), np.frombuffer(r.before_n, np.int64).tolist()):
+            both[1][a, r.word] += n
+    assert both == (expected, expected)
+
+
+def test_gains_against_counting_anew():
+    rng = np.random.default_rng(11)
+    pairs = rng.integers(0, 4, (12, 12)).astype(float)
+    own = np.append(rng.integers(2, 5, 10), [1, 0])
+
+    def fold(of):
+        member = np.eye(5)[of]
+        return member.T @ pairs @ member
+
+    table = fold(own)
+    member = np.eye(5)[own]
+    word = np.arange(10)
+    itself = np.diagonal(pairs)[:10].copy()
+    after, before = (pairs @ member)[:10], (pairs.T @ member)[:10]
+    after[word, own[:10]] -= itself
+    before[word, own[:10]] -= itself
+    found = class_lm.gains(after, before, itself, own[:10], table)
+    for w in word:
+        for b in range(2, 5):
+            moved = own.copy()
+            moved[w] = b
+            change = class_lm.likelihood(fold(moved)) - class_lm.likelihood(table)
+            assert np.isclose(found[w, b] - found[w, own[w]], change)
+
+
+def test_words_beyond_the_seeds_are_exchanged_in_tasks(spark):
+    rng = np.random.default_rng(13)
+    rows = [" ".join(f"{'ab'[(k + start) % 2]}{rng.integers(20)}" for k in range(400)) for start in (0, 1, 0, 1, 0, 1, 0, 1)]
+    texts = spark.createDataFrame([(t,) for t in rows], "text string")
+    counts = class_lm.word_counts(texts)
+    model = class_lm.train_class_model(texts, counts, classes=2, seeds=4)
+    classes = [{model.classes[np.searchsorted(model.hashes, hash_of(f"{kind}{k}"))] for k in range(20)} for kind in "ab"]
+    assert len(classes[0]) == len(classes[1]) == 1 and classes[0] != classes[1]
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(5)
     kinds = np.arange(40) % 2
