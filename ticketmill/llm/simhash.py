@@ -6,6 +6,10 @@ at most floor(l * distance / segments) bits (pigeonring principle). Candidates t
 segments that must be clean in a chain of `CHAIN` segments, whatever the others hold; they are found
 by equality, pruned by the budgets of all longer chains, and then counted bit by bit.
 
+Buckets of fingerprints that share a key fill up as the table grows. Where all pairs of one are needed,
+it is cut further by what a longer chain must also agree on: a pair within the budgets of `LONG_CHAIN`
+segments agrees on one of a few sets of further segments, so it still meets in one of the parts.
+
 Copies are never expanded into pairs. Equal fingerprints are one row. In a bucket of fingerprints
 that share a key, all are first compared with one of them; then only those are compared with the rest
 that the links so far have not joined to the bucket's largest component. A group of thousands of near
@@ -30,6 +34,7 @@ from ticketmill.llm.words import LOWER, SPACES, Chunk, chunks, find_words
 BITS = 64
 SEED = 42
 CHAIN = 6
+LONG_CHAIN = 8
 SLICE = 1 << 16
 BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -126,6 +131,27 @@ def _patterns(distance: int) -> list[tuple[int, int]]:
     ]
 
 
+@cache
+def _cuts(distance: int) -> list[list[int]]:
+    """For every key, masks of further segments; fingerprints of a linked pair agree on one of them whole."""
+    segments = 2 * distance + 1
+    masks, chain, longer = segment_masks(segments), min(CHAIN, segments), min(LONG_CHAIN, segments)
+    found = []
+    for first in range(segments):
+        for clean in clean_sets(distance, segments, chain):
+            more = [frozenset(long) - frozenset(clean) for long in clean_sets(distance, segments, longer)]
+            least = sorted({tuple(sorted(own)) for own in more if not any(other < own for other in more)})
+            found.append([_signed(sum(masks[(first + place) % segments] for place in own)) for own in least])
+    return found
+
+
+def _cut(members: DataFrame, distance: int) -> DataFrame:
+    """Rows of buckets, once for every part (cut, held) of the bucket that the fingerprint is in."""
+    masks = F.element_at(F.array(*[F.array(*map(F.lit, own)) for own in _cuts(distance)]), F.col("pattern").cast("int") + 1)
+    parts = F.transform(masks, lambda mask, k: F.struct(k.alias("cut"), F.col("fp").bitwiseAND(mask).alias("held")))
+    return members.select("*", F.explode(parts).alias("part")).select(*members.columns, "part.*")
+
+
 def _keys(fingerprints: DataFrame, distance: int) -> DataFrame:
     keys = [
         F.struct(F.lit(k).cast("short").alias("pattern"), F.col("fp").bitwiseAND(F.lit(_signed(mask))).alias("shared"))
@@ -173,11 +199,11 @@ def near_components(fingerprints: DataFrame, distance: int = 4) -> DataFrame:
         .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     )
     unsettled = stored(placed.join(open_, bucket).select("fp", *bucket, "root", "main"), "unsettled")
-    rest = unsettled.where("root <> main").select(
-        *bucket, F.col("fp").alias("own"), F.col("root").alias("own_root")
-    )
+    part = [*bucket, "cut", "held"]
+    parts = _cut(unsettled, distance)
+    rest = parts.where("root <> main").select(*part, F.col("fp").alias("own"), F.col("root").alias("own_root"))
     apart = (F.col("own_root") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("own") < F.col("fp")))
-    pairs = rest.join(unsettled, bucket).where(
+    pairs = rest.join(parts, part).where(
         apart & _linked(F.col("own"), F.col("fp"), F.col("pattern"), distance)
     )
     cross = pairs.select(F.col("own").alias("a"), F.col("fp").alias("b"))
