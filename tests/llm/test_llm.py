@@ -397,6 +397,34 @@ def test_verdict_does_not_depend_on_the_order(odd, empty):
     assert rule_cascade.judge_documents(empty).count() == 0
 
 
+def test_rejected_texts_are_asked_nothing_more(spark):
+    docs = table(spark, "documents")
+    ordered = [rule for rule, share, _ in rule_cascade.rejection_per_cost(docs) if rule.name != "trap"]
+    place = {rule.name: k for k, rule in enumerate(ordered)}
+    named = rule_cascade.rule_cascade(docs).groupBy("rejected_by").count().collect()
+    asked = sum(r["count"] * (place[r.rejected_by] + 1 if r.rejected_by else len(ordered)) for r in named)
+    assert asked < len(ordered) * docs.count()
+
+    def caught(m):
+        seen_before = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+        return F.when(seen_before, F.raise_error(F.lit("asked again"))).otherwise(m["n_open_lines"] < 0).cast("boolean")
+
+    trap = rule_cascade.Rule("trap", ("n_words", "n_repeat_words", "n_open_lines"), caught)
+    base = [rule for rule in rule_cascade.RULES if rule.name in rule_cascade.BASE]
+    verdict = rule_cascade.first_rejection([*base, trap], rule_cascade.measures("text"))
+    short = docs.where("text IS NOT NULL").unionByName(docs.limit(3).withColumn("text", F.lit("too short")))
+    assert short.select(verdict.alias("by")).where("by = 'few_words'").count() >= 3
+
+
+def test_further_measures_by_hand(spark):
+    texts = [None, "", "- a\n* b\nc", "1 2 é x3 --", "so...\nso ... \t\nno\n\u2026\n... x", "\u2022 one\r\n  - two\n\n", "end...\u2028"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    taken = rule_cascade.measures("text")
+    names = ("n_letter_words", "n_bullet_lines", "n_open_lines")
+    found = [tuple(r) for r in frame.select(*[taken[n].alias(n) for n in names]).collect()]
+    assert found == [(0, 0, 0), (0, 0, 0), (3, 2, 0), (2, 0, 0), (4 + 1, 0, 3), (3, 2, 0), (1, 0, 0)]
+
+
 # 5: mixing
 
 
@@ -488,6 +516,35 @@ def test_ring_loses_no_link(spark, distance):
     assert [found.get(x, x) for x in signed] == expected
 
 
+@pytest.mark.parametrize("distance", [1, 3, 4])
+def test_full_buckets_lose_no_link(spark, distance):
+    """All fingerprints agree on most segments, so every bucket holds groups that must meet each other."""
+    rng = np.random.default_rng(10 + distance)
+    fixed, free = int(rng.integers(0, 2**63)), (1 << 22) - 1
+    spread = [fixed & ~(free << 20) | (int(x) << 20) for x in rng.integers(0, 1 << 22, 1500)]
+    fps = set(spread)
+    for c in spread[:300]:
+        for bit in rng.integers(0, 64, distance).tolist():
+            fps.add(c ^ (1 << bit))
+    signed = np.array(sorted(fps), np.uint64).view(np.int64).tolist()
+    found = dict(simhash.near_components(spark.createDataFrame([(x,) for x in signed], "fp long"), distance).collect())
+    expected = plain_components(np.array(signed, np.int64).view(np.uint64), signed, distance)
+    assert [found.get(x, x) for x in signed] == expected
+
+
+def test_every_linked_pair_meets_in_a_part_of_a_bucket():
+    """Each pair within the distance shares a key and one of the key's cuts; unlike pairs of a key mostly share none."""
+    rng = np.random.default_rng(5)
+    mask = (1 << 64) - 1
+    keys = list(zip([m for _, m in simhash._patterns(4)], simhash._cuts(4)))
+    for _ in range(3000):
+        differ = sum(1 << b for b in set(rng.integers(0, 64, rng.integers(1, 5)).tolist()))
+        assert any(differ & m == 0 and any(differ & (c & mask) == 0 for c in cuts) for m, cuts in keys)
+    apart = rng.integers(0, 2**64, 4000, dtype=np.uint64).tolist()
+    meet = sum(any(x & ~m & (c & mask) == 0 for c in cuts) for x in apart for m, cuts in keys[:5])
+    assert meet < 0.06 * 5 * len(apart)
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(k, k + 1) for k in range(40)]
     links = [*chain, (100, 101), (100, 102), (103, 100), (5, 5), (200, 200), (None, 3), (101, 100)]

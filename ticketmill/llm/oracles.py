@@ -16,7 +16,9 @@ ORACLES = {
             SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY r
         ),
         lines AS (
-            SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+            SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup,
+                count_if(regexp_matches(line, '^[\x20\x09-\x0D]*[-*\x{{2022}}]')) AS bullets,
+                count_if(regexp_matches(line, '(\.\.\.|\x{{2026}})[\x20\x09-\x0D]*\z')) AS open
             FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM t)
             WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
         ),
@@ -25,12 +27,16 @@ ORACLES = {
                 length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
                 length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
                 coalesce(lines.n, 0)::BIGINT AS n_lines, coalesce(lines.dup, 0)::BIGINT AS n_dup_lines,
-                coalesce(repeated.n, 0)::BIGINT AS n_repeat_words
+                coalesce(repeated.n, 0)::BIGINT AS n_repeat_words,
+                len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\x{{80}}-\x{{10FFFF}}]'))) AS n_letter_words,
+                coalesce(lines.bullets, 0) AS n_bullet_lines, coalesce(lines.open, 0) AS n_open_lines
             FROM t LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)
         )
-        SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+        SELECT * EXCLUDE (n_letter_words, n_bullet_lines, n_open_lines), (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
             NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words
-                OR 10 * n_dup_lines > 5 * n_lines OR 2 * word_chars < 3 * n_words OR word_chars > 25 * n_words) AS kept
+                OR 10 * n_dup_lines > 5 * n_lines OR 2 * word_chars < 3 * n_words OR word_chars > 25 * n_words
+                OR 10 * n_letter_words < 6 * n_words OR 10 * n_bullet_lines > 9 * n_lines
+                OR 10 * n_open_lines > 3 * n_lines) AS kept
         FROM m
     """,
     "op5_poisson_mix": """
