@@ -8,7 +8,8 @@ by equality, pruned by the budgets of all longer chains, and then counted bit by
 
 Buckets of fingerprints that share a key fill up as the table grows. Where all pairs of one are needed,
 it is cut further by what a longer chain must also agree on: a pair within the budgets of `LONG_CHAIN`
-segments agrees on one of a few sets of further segments, so it still meets in one of the parts.
+segments agrees on one of a few sets of further segments, so it still meets in one of the parts. A row
+goes into several parts, so a bucket is cut only if `CUT_FROM` rows or more would each meet all of it.
 
 Copies are never expanded into pairs. Equal fingerprints are one row. In a bucket of fingerprints
 that share a key, all are first compared with one of them; then only those are compared with the rest
@@ -35,6 +36,7 @@ BITS = 64
 SEED = 42
 CHAIN = 6
 LONG_CHAIN = 8
+CUT_FROM = 16
 SLICE = 1 << 16
 BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -146,10 +148,15 @@ def _cuts(distance: int) -> list[list[int]]:
 
 
 def _cut(members: DataFrame, distance: int) -> DataFrame:
-    """Rows of buckets, once for every part (cut, held) of the bucket that the fingerprint is in."""
+    """Rows of buckets with the part (cut, held) of the bucket that they are in, or each of several parts.
+
+    `apart` counts the rows outside the bucket's main component; a bucket with few of them is one part.
+    """
     masks = F.element_at(F.array(*[F.array(*map(F.lit, own)) for own in _cuts(distance)]), F.col("pattern").cast("int") + 1)
     parts = F.transform(masks, lambda mask, k: F.struct(k.alias("cut"), F.col("fp").bitwiseAND(mask).alias("held")))
-    return members.select("*", F.explode(parts).alias("part")).select(*members.columns, "part.*")
+    full = members.where(F.col("apart") >= CUT_FROM).select("*", F.explode(parts).alias("part"))
+    whole = members.where(F.col("apart") < CUT_FROM).withColumns({"cut": F.lit(0), "held": F.lit(0).cast("long")})
+    return whole.unionByName(full.select(*members.columns, "part.*"))
 
 
 def _keys(fingerprints: DataFrame, distance: int) -> DataFrame:
@@ -196,9 +203,14 @@ def near_components(fingerprints: DataFrame, distance: int = 4) -> DataFrame:
     )
     open_ = (
         placed.groupBy(*bucket, "root").agg(F.count("*").alias("n")).groupBy(bucket)
-        .agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+        .agg(
+            F.max_by("root", F.struct("n", "root")).alias("main"),
+            (F.sum("n") - F.max("n")).alias("apart"),
+            F.count("*").alias("roots"),
+        )
+        .where("roots > 1")
     )
-    unsettled = stored(placed.join(open_, bucket).select("fp", *bucket, "root", "main"), "unsettled")
+    unsettled = stored(placed.join(open_, bucket).select("fp", *bucket, "root", "main", "apart"), "unsettled")
     part = [*bucket, "cut", "held"]
     parts = _cut(unsettled, distance)
     rest = parts.where("root <> main").select(*part, F.col("fp").alias("own"), F.col("root").alias("own_root"))
