@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import zlib
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +40,8 @@ LARGEST_POLARITY = 10**6
 POLARITY = "decimal(13,6)"
 POLARITY_SUM = "decimal(28,6)"
 FACTOR = "decimal(9,4)"
+#: Bytes of a lexicon's row beside its word.
+ENTRY_BYTES = 32
 
 
 def build_prompt(text: Column, before: str = PROMPT_BEFORE_TEXT, after: str = PROMPT_AFTER_TEXT) -> Column:
@@ -87,31 +91,49 @@ class Modifiers:
     negated: float = -0.5
 
 
-def weighted_words(text: Column, modifiers: Modifiers | None = None) -> Column:
-    """The words of a text in order, each with the factor that the words before it give to its polarity."""
+def _with_noted(text: Column, modifiers: Modifiers | None, use: Callable[[Column, Callable[[Column], Column]], Column]) -> Column:
+    """What `use` makes of the words of a text and of a function that gives the factor at a place of them.
+
+    Each word is looked up among the modifiers once and noted as a small number: the place of its strength, doubled,
+    and one more for a negation. A factor is then read from the notes before its place, out of a constant table of
+    all products, so no decimal is computed for a word.
+    """
     one = F.lit(1).cast(FACTOR)
-    if modifiers is None or not (modifiers.negations or modifiers.strengtheners):
-        return F.transform(words(text), lambda word: F.struct(word.alias("word"), one.alias("factor")))
-    negations = [w.lower() for w in modifiers.negations]
+    # Words and notes are bound to variables, or a lambda would make them again for each word.
+    if modifiers is None or modifiers.reach < 1 or not (modifiers.negations or modifiers.strengtheners):
+        return F.element_at(F.transform(F.array(words(text)), lambda every: use(every, lambda i: one)), 1)
+    negations = {w.lower() for w in modifiers.negations}
     strength = {w.lower(): Decimal(str(f)) for w, f in modifiers.strengtheners.items()}
+    strong = [one, *[F.lit(f).cast(FACTOR) for f in strength.values()]]
+    turned = F.lit(Decimal(str(modifiers.negated))).cast(FACTOR)
+    factors = F.array(*[f for s in strong for f in (s, (s * turned).cast(FACTOR))])
+    places = {word: place for place, word in enumerate(strength, 1)}
+    codes = {word: 2 * places.get(word, 0) + (word in negations) for word in [*strength, *sorted(negations - set(strength))]}
+    table = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
+
+    def use_noted(every: Column, notes: Column) -> Column:
+        def factor(i: Column) -> Column:
+            before = [F.get(notes, i - k) for k in range(1, modifiers.reach + 1)]
+            nearest = F.coalesce(*[F.when(code >= 2, F.shiftright(code, 1)) for code in before], F.lit(0))
+            turns = reduce(lambda a, b: a.bitwiseOR(b), [F.coalesce(code.bitwiseAND(F.lit(1)), F.lit(0)) for code in before])
+            return F.when(F.coalesce(*before).isNull(), one).otherwise(F.get(factors, nearest * 2 + turns))
+
+        return use(every, factor)
+
+    def note(every: Column) -> Column:
+        notes = F.transform(every, lambda word: F.try_element_at(table, word))
+        return F.element_at(F.transform(F.array(notes), lambda noted: use_noted(every, noted)), 1)
 
-    def factor(before: Column) -> Column:
-        found = one
-        if strength:
-            table = F.create_map(*[F.lit(x).cast(FACTOR) if k else F.lit(x) for pair in strength.items() for k, x in enumerate(pair)])
-            found = F.aggregate(before, one, lambda nearest, word: F.coalesce(F.try_element_at(table, word), nearest))
-        if negations:
-            turned = F.when(F.exists(before, lambda word: word.isin(negations)), F.lit(Decimal(str(modifiers.negated))))
-            found = (found * F.coalesce(turned.cast(FACTOR), one)).cast(FACTOR)
-        return found
+    return F.element_at(F.transform(F.array(words(text)), note), 1)
 
-    def weigh(every: Column) -> Column:
-        return F.transform(every, lambda word, i: F.struct(word.alias("word"), factor(
-            F.slice(every, F.greatest(i - modifiers.reach, F.lit(0)) + 1, F.least(i, F.lit(modifiers.reach)))
-        ).alias("factor")))
 
-    # The words are bound to a variable, or the lambda would extract them again for each word.
-    return F.element_at(F.transform(F.array(words(text)), weigh), 1)
+def weighted_words(text: Column, modifiers: Modifiers | None = None) -> Column:
+    """The words of a text in order, each with the factor that the words before it give to its polarity."""
+
+    def weigh(every: Column, factor: Callable[[Column], Column]) -> Column:
+        return F.transform(every, lambda word, i: F.struct(word.alias("word"), factor(i).alias("factor")))
+
+    return _with_noted(text, modifiers, weigh)
 
 
 def lexicon_polarity(text: Column, lexicon: Mapping[str, float], modifiers: Modifiers | None = None) -> Column:
@@ -136,10 +158,13 @@ def lexicon_polarity(text: Column, lexicon: Mapping[str, float], modifiers: Modi
         maps[zlib.crc32(word.encode()) % size][word] = str(polarity)
     table = F.from_json(F.lit(json.dumps(maps, ensure_ascii=False)), f"array<map<string,{POLARITY}>>")
 
-    def found(weighted: Column) -> Column:
-        word = weighted["word"]
-        own = F.element_at(table, (F.crc32(word.cast("binary")) % size + 1).cast("int"))
-        return (F.try_element_at(own, word) * weighted["factor"]).cast(POLARITY)
+    def found(every: Column, factor: Callable[[Column], Column]) -> Column:
+        def weigh(word: Column, i: Column) -> Column:
+            own = F.element_at(table, (F.crc32(word.cast("binary")) % size + 1).cast("int"))
+            # The product asks for a factor only where the word has a polarity.
+            return (F.try_element_at(own, word) * factor(i)).cast(POLARITY)
+
+        return F.filter(F.transform(every, weigh), lambda polarity: polarity.isNotNull())
 
     start = F.struct(F.lit(0).cast(POLARITY_SUM).alias("total"), F.lit(0).alias("hits"))
 
@@ -147,8 +172,7 @@ def lexicon_polarity(text: Column, lexicon: Mapping[str, float], modifiers: Modi
         total = (state["total"] + polarity).cast(POLARITY_SUM)
         return F.struct(total.alias("total"), (state["hits"] + 1).alias("hits"))
 
-    hits = F.filter(F.transform(weighted_words(text, modifiers), found), lambda polarity: polarity.isNotNull())
-    return F.coalesce(F.aggregate(hits, start, add, _mean), F.lit(0.0))
+    return F.coalesce(F.aggregate(_with_noted(text, modifiers, found), start, add, _mean), F.lit(0.0))
 
 
 def _mean(state: Column) -> Column:
@@ -165,13 +189,15 @@ def score_by_lexicon(
 
     Rows for which `only` does not hold are not read word by word; their score is 0.0.
 
-    Words of one row sit in one partition, so with a lexicon that Spark broadcasts the partial
-    aggregate leaves one small record per row before the shuffle; a larger lexicon is joined by
-    shuffle, where adaptive execution splits a hot word. The score returns over the unique row id.
+    Words of one row sit in one partition, so with a lexicon that is broadcast the partial aggregate leaves
+    one small record per row before the shuffle; a larger lexicon is joined by shuffle, where adaptive
+    execution splits a hot word. Spark has no size of a table made in the session and would shuffle every word
+    of every text for it, so the lexicon is counted first. The score returns over the unique row id.
     """
     entries = reference_mapping(lexicon.withColumn("word", F.lower("word")), "word", "polarity").select(
         F.col("word").alias("_entry"), F.col("polarity").cast(POLARITY).alias("_polarity")
     )
+    entries = F.broadcast(entries) if _fits_broadcast(entries, "_entry") else entries
     wanted = df if only is None else df.where(only)
     weighted = wanted.select(row_id, F.explode(weighted_words(F.col(text), modifiers)).alias("_weighted"))
     tokens = weighted.select(row_id, F.col("_weighted.word").alias("_word"), F.col("_weighted.factor").alias("_factor"))
@@ -184,6 +210,15 @@ def score_by_lexicon(
     return df.join(scores, row_id, "left").select(*df.columns, F.coalesce(output, F.lit(0.0)).alias(output))
 
 
+def _fits_broadcast(entries: DataFrame, word: str) -> bool:
+    """Is the table under the size up to which Spark broadcasts? A job over the table, which returns one number."""
+    limit = re.fullmatch(r"(\d+) *([kmgtp]?)b?", entries.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower())
+    if limit is None:
+        return False
+    size = entries.agg(F.sum(F.octet_length(word) + F.lit(ENTRY_BYTES))).first()[0] or 0
+    return size <= int(limit[1]) * 1024 ** " kmgtp".index(limit[2] or " ")
+
+
 def parse_replies(
     df: DataFrame, reply: str, categories: DataFrame, category_column: str = "category_name"
 ) -> DataFrame:
