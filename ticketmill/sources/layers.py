@@ -113,14 +113,16 @@ def run_path(path: str, run: str) -> str:
     return f"{path}/{EXECUTION_ID}={escaped}"
 
 
-def stage_run(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+def stage_run(df: DataFrame, path: str, partition_by: Sequence[str] = (), row_group: int | None = None) -> str:
     """Write the rows of a run beside the table, where no reader looks; returns the folder.
 
-    Without rows there is a file nevertheless, so that the columns can be read.
+    Without rows there is a file nevertheless, so that the columns can be read. `row_group` bounds the bytes of
+    what one task at least has to read of a file, however few tasks wrote it.
     """
+    options = {} if row_group is None else {"parquet.block.size": row_group}
     staged = f"{path.rstrip('/').rpartition('/')[0]}/_staged-{uuid.uuid4().hex}"
     own = df.drop(EXECUTION_ID)
-    own.write.partitionBy(*partition_by).parquet(staged)
+    own.write.options(**options).partitionBy(*partition_by).parquet(staged)
     if partition_by and not any("=" in name for name in files.names(df.sparkSession, staged)):
         nowhere = "/".join(f"{column}={NO_VALUE}" for column in partition_by)
         own.limit(0).drop(*partition_by).write.parquet(f"{staged}/{nowhere}")
@@ -132,13 +134,15 @@ def publish_run(spark: SparkSession, staged: str, path: str, run: str) -> None:
     files.replace(spark, staged, run_path(path, run), f"{path}/_replaced-{uuid.uuid4().hex}")
 
 
-def write_run(df: DataFrame, path: str, run: str, partition_by: Sequence[str] = ()) -> None:
+def write_run(
+    df: DataFrame, path: str, run: str, partition_by: Sequence[str] = (), row_group: int | None = None
+) -> None:
     """Replace one run's folder as a whole, also when the run, or one of its sub-partitions, has no rows left.
 
     Safe to repeat. The new folder takes the place of the old one when it is complete, so a write that
     fails leaves the stored run readable.
     """
-    publish_run(df.sparkSession, stage_run(df, path, partition_by), path, run)
+    publish_run(df.sparkSession, stage_run(df, path, partition_by, row_group), path, run)
 
 
 def write_runs(df: DataFrame, path: str) -> None:
